@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from . import decontamination, licenses, packing, rules
+from . import compression, decontamination, languages, licenses, packing, pii, rules, toxicity
 from .columns import table
 
 
@@ -19,8 +19,12 @@ def queries() -> dict:
     docs = lambda s, d: table(s, d, "documents")
     return {
         "op2_quality_rules": lambda s, d: rules.query(docs(s, d)),
+        "op3_toxicity": lambda s, d: toxicity.query(docs(s, d), table(s, d, "labels")),
+        "op4_language": lambda s, d: languages.query(docs(s, d)),
+        "op5_compression_quality": lambda s, d: compression.query(docs(s, d), table(s, d, "labels")),
         "op7_license_scan": lambda s, d: licenses.query(docs(s, d)),
         "op8_packing": lambda s, d: packing.query(docs(s, d), tokenizer_json()),
+        "op9_pii": lambda s, d: pii.query(docs(s, d)),
         "op10_decontamination": lambda s, d: decontamination.query(docs(s, d), table(s, d, "benchmark")),
     }
 
