@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from . import compression, decontamination, languages, licenses, packing, pii, rules, toxicity
+from . import compression, decontamination, jaccard, languages, licenses, packing, pii, rules, toxicity
 from .columns import table
 
 
@@ -22,6 +22,7 @@ def queries() -> dict:
         "op3_toxicity": lambda s, d: toxicity.query(docs(s, d), table(s, d, "labels")),
         "op4_language": lambda s, d: languages.query(docs(s, d)),
         "op5_compression_quality": lambda s, d: compression.query(docs(s, d), table(s, d, "labels")),
+        "op6_jaccard_join": lambda s, d: jaccard.query(docs(s, d)),
         "op7_license_scan": lambda s, d: licenses.query(docs(s, d)),
         "op8_packing": lambda s, d: packing.query(docs(s, d), tokenizer_json()),
         "op9_pii": lambda s, d: pii.query(docs(s, d)),
@@ -30,4 +31,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontamination": decontamination.SQL}
+    return {"op6_jaccard_join": jaccard.SQL, "op10_decontamination": decontamination.SQL}
