@@ -2,13 +2,13 @@
 
 1. Benchmark items become windows of 10 consecutive words (a shorter item is one window).
 2. One pass over the corpus counts in how many documents each benchmark word occurs.
-3. For each window its two rarest words are looked up: a second pass stores the postings
-   (document, position, the words around) of these words only.
-4. The two posting lists of a window, each less the word's offset in it, are intersected;
-   the whole window is then compared with the words around. Proximity matches are places where the rarest
-   word stands at its offset and at least 8 of 10 words agree.
+3. Each window is looked up by its rarest word: a second pass stores the postings (document, position, the
+   words around) of these words only.
+4. Lists less their offsets in the window are intersected from the rarest on: the second rarest word must stand at its
+   offset from the posting, then all others. Proximity matches are places where the two rarest words stand so and at
+   least 8 of 10 words agree.
 
-No text is shuffled. The benchmark is worked off in blocks of a bounded number of windows, which alone are
+No text or posting is shuffled. The benchmark is worked off in blocks of a bounded number of windows, which alone are
 broadcast, so the benchmark may grow too.
 
 Edge cases: null text has no words, null or wordless items no windows; repeated rows are answered each;
@@ -45,20 +45,24 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
 
 
 def _with_rarest(wins: DataFrame, df: DataFrame) -> DataFrame:
-    """The offsets (from 0) and words of the rarest and second rarest word of each window all of whose words occur."""
+    """The offsets (from 0) of the rarest and the second rarest word of each window all of whose words occur, and the rarest.
+
+    Windows of one word have no second.
+    """
     w = wins.select("key", F.posexplode("win").alias("o", "word")).join(F.broadcast(df), "word", "left")
     w = w.groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("n", "o", "word"))).alias("r"), F.count_if(F.col("n").isNull()).alias("gone")
     )
-    w = w.where("gone = 0").select(
-        "key", F.col("r")[0]["o"].alias("o1"), F.col("r")[0]["word"].alias("w1"),
-        F.get("r", F.lit(1))["o"].alias("o2"), F.get("r", F.lit(1))["word"].alias("w2"),
-    )
+    w = w.where("gone = 0").select("key", F.col("r")[0]["o"].alias("o1"), F.col("r")[0]["word"].alias("w1"), F.get("r", F.lit(1))["o"].alias("o2"))
     return wins.join(w, "key")
 
 
 def _postings(docs: DataFrame, terms: list[str], reach: int) -> DataFrame:
-    """docs with n_words and post: the places of the terms, each with the words up to reach before and after."""
+    """docs with n_words and post: the places of the terms, each with the words up to reach before and after.
+
+    The words around a posting are the entries of all other terms' lists that may meet it, so that lists are
+    intersected where the rarest one stands and the longer ones are never stored, sorted or moved.
+    """
     t = docs.select("uid", "doc_id", _tokens(F.col("text")).alias("w"))
     found = F.transform(
         "w",
@@ -78,28 +82,23 @@ def _block(docs: DataFrame, wins: DataFrame, size: int) -> tuple[DataFrame, Data
     df = docs.select(F.explode(F.array_distinct(kept)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     rows = [(r["word"], r["n"]) for r in df.collect()]  # no more rows than the vocabulary has
     wins = stage(_with_rarest(wins, spark.createDataFrame(rows, "word string, n long")), "windows")
-    terms = [r[0] for r in wins.select(F.explode(F.array("w1", "w2"))).distinct().collect() if r[0] is not None]
+    terms = [r[0] for r in wins.select("w1").distinct().collect()]
     reach = size - 1
     table = stage(_postings(docs, terms, reach), "postings")
     post = table.select("uid", F.explode("post").alias("p")).select("uid", "p.*")
     at = F.least(F.col("pos"), F.lit(reach))  # of the word among the words around
+    start = at - F.col("o1")  # of the window among them
+    meets = F.col("o2").isNull() | F.coalesce(F.get("near", start + F.col("o2")) == F.get("win", F.col("o2")), F.lit(False))
     agree = F.filter(F.zip_with("win", "here", lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x)
-    first = (
+    found = (
         post.join(F.broadcast(wins), post["word"] == wins["w1"])
-        .where(at >= F.col("o1"))
-        .withColumn("here", F.slice("near", F.greatest(at - F.col("o1"), F.lit(0)) + 1, F.size("win")))
-        .select("uid", "key", (F.col("pos") - F.col("o1")).alias("start"), F.size("win").alias("n"), "items", "w2", F.size(agree).alias("same"))
-        .where(F.col("same") >= NEAR * F.col("n"))
+        .where((start >= 0) & meets)
+        .withColumn("here", F.slice("near", F.greatest(start, F.lit(0)) + 1, F.size("win")))
+        .select("uid", F.struct((F.col("pos") - F.col("o1")).alias("start"), F.size("win").alias("n")).alias("span"), "items", F.size(agree).alias("same"))
+        .where(F.col("same") >= NEAR * F.col("span.n"))
     )
-    other = wins.select(F.col("key"), F.col("o2"), F.col("w2").alias("word"))
-    second = post.join(F.broadcast(other), "word").select("uid", "key", (F.col("pos") - F.col("o2")).alias("start")).distinct()
-    whole = F.col("same") == F.col("n")
-    # Both lists intersect, and the whole phrase is there. A window of one word has one list only.
-    exact = first.where(whole & F.col("w2").isNotNull()).join(second, ["uid", "key", "start"], "left_semi")
-    exact = exact.unionByName(first.where(whole & F.col("w2").isNull()))
-    span = F.struct("start", "n").alias("span")
-    near = first.where(~whole).select("uid", F.lit("near").alias("kind"), span, "items")
-    return table, exact.select("uid", F.lit("hits").alias("kind"), span, "items").unionByName(near)
+    kind = F.when(F.col("same") == F.col("span.n"), "hits").otherwise("near").alias("kind")
+    return table, found.select("uid", kind, "span", "items")
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = BLOCK) -> DataFrame:
