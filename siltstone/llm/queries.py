@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from . import compression, decontamination, jaccard, languages, licenses, packing, pii, rules, toxicity
+from . import compression, decontamination, jaccard, language_model, languages, licenses, packing, pii, rules, toxicity
 from .columns import table
 
 
@@ -18,6 +18,7 @@ def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
 def queries() -> dict:
     docs = lambda s, d: table(s, d, "documents")
     return {
+        "op1_language_model": lambda s, d: language_model.query(docs(s, d)),
         "op2_quality_rules": lambda s, d: rules.query(docs(s, d)),
         "op3_toxicity": lambda s, d: toxicity.query(docs(s, d), table(s, d, "labels")),
         "op4_language": lambda s, d: languages.query(docs(s, d)),
