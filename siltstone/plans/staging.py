@@ -30,12 +30,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back."""
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back. release() deletes it later, unless it is to be kept."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _staged.append(path)
+    if not keep:
+        _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
