@@ -276,7 +276,7 @@ def spans(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with each span of text replaced by its kind, as in <EMAIL>; all other columns as they are."""
+    """docs with each span of text replaced by its kind, as in <EMAIL>; a column n_chars follows, all others stay."""
     weights = docs.sparkSession.sparkContext.broadcast(fit(docs))
 
     @F.pandas_udf("string")
@@ -291,7 +291,10 @@ def redact(docs: DataFrame) -> DataFrame:
             out.append("".join([*parts, text[at:]]) if found else text)
         return pd.Series(out, dtype=object)
 
-    return docs.withColumn("text", masked("text"))
+    out = docs.withColumn("text", masked("text"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
 
 
 def query(docs: DataFrame) -> DataFrame:
