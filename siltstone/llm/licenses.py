@@ -2,10 +2,11 @@
 
 1. The notices below become postings (word, template, offset).
 2. One pass over the corpus counts the documents that hold each notice word; idf = log((n + 1) / (df + 1)).
-3. Each file looks up the words of highest idf that it holds (LOOKUPS distinct ones, all of their places); each
-   place votes for (template, place - offset). Templates' postings meet at the same relative position.
-4. A template's score there is the share of its idf weight that stands at the right place; it is reported at
-   MATCH or more, if all its mandatory key phrases stand in the file at their places.
+3. A template can only match where the word of highest idf of its mandatory phrases stands. Each file looks up these
+   words; a place of one votes for (template, place - offset).
+4. There the template's other postings are intersected with the file's words by relative position. The score is the share of
+   the template's idf weight that stands at its place; the template is reported at MATCH or more, if all its mandatory key
+   phrases stand at their places.
 
 The notice table is a constant of this module (some 200 words), so what is broadcast never grows.
 
@@ -41,7 +42,6 @@ TEMPLATES = {
 }
 #: Phrases that the contract counts, with their labels.
 BASE = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
-LOOKUPS = 8
 MATCH = 0.75
 #: Every mandatory and every base phrase holds one of these words, so files without any have nothing to find.
 ANCHORS = ("license", "cc", "redistribution", "permission", "rights", "unencumbered")
@@ -51,6 +51,13 @@ def _postings() -> list[tuple[str, str, int]]:
     return [(w, label, i) for label, (notice, _) in TEMPLATES.items() for i, w in enumerate(notice.split())]
 
 
+def _places(notice: str, phrase: str) -> range:
+    """The places in the notice at which the phrase's words stand."""
+    n, p = notice.split(), phrase.split()
+    start = next(i for i in range(len(n)) if n[i : i + len(p)] == p)
+    return range(start, start + len(p))
+
+
 def _tokens():
     return words(lower_ascii(F.col("text")), MARKS)
 
@@ -74,8 +81,11 @@ def scan(docs: DataFrame) -> DataFrame:
     ).withColumn("idf", idf)
     weights = {(r["label"], r["o"]): (r["word"], r["idf"]) for r in post.collect()}
     totals = {label: sum(v for (x, _), (_, v) in weights.items() if x == label) for label in TEMPLATES}
-    idf_of = {w: v for w, v in weights.values()}
-    ranked = sorted(idf_of, key=lambda w: (-idf_of[w], w))
+    vocabulary = sorted({w for w, _ in weights.values()})
+    rarest: dict[str, list[tuple[str, int]]] = {}
+    for name, (notice, keys) in TEMPLATES.items():
+        o = max((i for key in keys for i in _places(notice, key)), key=lambda i: (weights[(name, i)][1], -i))
+        rarest.setdefault(weights[(name, o)][0], []).append((name, o))
 
     t = docs.select("doc_id", F.col("text"))
     likely = F.coalesce(F.col("text").rlike(r"(?i)(?<![^\x00-\x2F\x3A-\x60\x7B-\x7F])(" + "|".join(ANCHORS) + r")(?![^\x00-\x2F\x3A-\x60\x7B-\x7F])"), F.lit(False))
@@ -86,24 +96,14 @@ def scan(docs: DataFrame) -> DataFrame:
         F.when(F.col("likely"), _tokens()).otherwise(F.array().cast("array<string>")).alias("w"),
     )
 
-    # The file's places of notice words, then the places of its LOOKUPS rarest ones.
-    vocabulary = sorted(idf_of)
     places = F.filter(F.transform("w", lambda x, i: F.when(x.isin(vocabulary), F.struct(i.alias("i"), x.alias("x")))), lambda x: x.isNotNull())
-    order = F.array([F.lit(w) for w in ranked])
     t = t.withColumn("places", places)
-    present = F.array_distinct(F.transform("places", lambda p: p["x"]))
-    t = t.withColumn("rare", F.slice(F.filter(order, lambda w: F.array_contains(present, w)), 1, LOOKUPS))
-    t = t.withColumn("looked", F.filter("places", lambda p: F.array_contains("rare", p["x"])))
-
-    # Postings by word: each place votes for the starts at which a template would stand.
-    by_word: dict[str, list] = {}
-    for (name, o), (word, _) in sorted(weights.items()):
-        by_word.setdefault(word, []).append((name, o))
     index = F.create_map(
-        *[x for w, ps in by_word.items() for x in (F.lit(w), F.array(*[F.struct(F.lit(a).alias("label"), F.lit(o).alias("o")) for a, o in ps]))]
+        *[x for w, ps in rarest.items() for x in (F.lit(w), F.array(*[F.struct(F.lit(a).alias("label"), F.lit(o).alias("o")) for a, o in ps]))]
     )
-    votes = F.flatten(F.transform("looked", lambda p: F.transform(F.element_at(index, p["x"]), lambda q: F.struct(q["label"].alias("label"), (p["i"] - q["o"]).alias("start")))))
-    t = t.withColumn("cands", F.array_distinct(F.filter(votes, lambda v: v["start"] >= 0)))
+    looked = F.filter("places", lambda p: p["x"].isin(sorted(rarest)))
+    votes = F.flatten(F.transform(looked, lambda p: F.transform(F.element_at(index, p["x"]), lambda q: F.struct(q["label"].alias("label"), (p["i"] - q["o"]).alias("start")))))
+    cands = F.filter(votes, lambda v: v["start"] >= 0)
 
     def score(c):
         """The share of the template's weight that stands where it should, or null without its key phrases."""
@@ -115,18 +115,16 @@ def scan(docs: DataFrame) -> DataFrame:
                 same = same + F.when(F.coalesce(F.get("w", c["start"] + o) == word, F.lit(False)), F.lit(weights[(name, o)][1] / totals[name])).otherwise(0.0)
             must = F.lit(True)
             for key in keys:
-                phrase = key.split()
-                at = next(i for i in range(len(tokens)) if tokens[i : i + len(phrase)] == phrase)
-                for k, word in enumerate(phrase):
-                    must = must & F.coalesce(F.get("w", c["start"] + at + k) == word, F.lit(False))
+                for i in _places(notice, key):
+                    must = must & F.coalesce(F.get("w", c["start"] + i) == tokens[i], F.lit(False))
             value = F.when((c["label"] == name) & must, same).otherwise(value)
         return value
 
-    found = F.transform("cands", lambda c: F.struct(score(c).alias("score"), c["label"].alias("label"), c["start"].alias("start")))
+    found = F.transform(cands, lambda c: F.struct(score(c).alias("score"), c["label"].alias("label"), c["start"].alias("start")))
     t = t.withColumn("found", F.filter(found, lambda f: F.coalesce(f["score"] >= MATCH, F.lit(False))))
     starts = F.transform("places", lambda p: p["i"])
     base = F.transform(starts, lambda i: F.struct(i.alias("start"), _base_label(i).alias("label")))
-    return t.select("doc_id", "n_words", F.filter(base, lambda b: b["label"].isNotNull()).alias("base"), F.sort_array("found", asc=False).alias("found"))
+    return t.select("doc_id", "n_words", F.filter(base, lambda b: b["label"].isNotNull()).alias("base"), F.sort_array(F.array_distinct("found"), asc=False).alias("found"))
 
 
 def _base_label(i):
