@@ -10,6 +10,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,20 +31,28 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
-    """Write df to the shared folder and read it back. release() deletes it later, unless it is to be kept."""
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write df to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    if not keep:
-        _staged.append(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete all staged tables; only once nothing reads them any more."""
+@contextmanager
+def recorded():
+    """Collects the paths that are staged within."""
+    first = len(_staged)
+    paths: list[str] = []
+    yield paths
+    paths += _staged[first:]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables; only once nothing reads them any more."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _staged:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(conf).delete(path, True)
