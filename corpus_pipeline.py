@@ -7,41 +7,61 @@ drops a document that its operator doesn't find fault with.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.llm import decontamination, jaccard, packing, pii, toxicity
 from siltstone.llm.columns import table
 from siltstone.llm.queries import tokenizer_json
-from siltstone.plans.staging import release, stage
+from siltstone.plans.staging import recorded, release, stage
+
+
+#: What the last stage has staged; its result is written when the next one begins.
+_left: list[str] = []
+
+
+def _step(function):
+    """A stage that first deletes what the stage before it has staged."""
+
+    @wraps(function)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _left)
+        with recorded() as paths:
+            out = function(spark, docs, sf_dir)
+        _left.extend(paths)
+        return out
+
+    return run_step
 
 
+@_step
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learned from all labels of documents, scores below its threshold."""
-    release(spark)
     return toxicity.reject(docs, table(spark, sf_dir, "labels"))
 
 
+@_step
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of 5-word shingle sets with a Jaccard similarity of 0.8 or more."""
-    release(spark)
     return jaccard.deduplicate(docs)
 
 
+@_step
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    release(spark)
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_step
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; n_chars follows the text."""
-    release(spark)
     return pii.redact(docs)
 
 
+@_step
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1024 tokens."""
-    release(spark)
     return packing.query(docs, tokenizer_json())
 
 
@@ -60,5 +80,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
+        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
