@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .components import components
+from ..operators.components import components
 
 SHINGLE = 5
 #: Sets link when 100 * intersection >= SIMILARITY * union. The proof above is for 80; 4 and 9 follow from it.
