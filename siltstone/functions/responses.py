@@ -12,6 +12,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import constants as K
 
@@ -90,18 +91,18 @@ def _column(series: pd.Series, function) -> pd.Series:
     return pd.Series([None if t is None else function(t) for t in series], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def balanced_json(texts: pd.Series) -> pd.Series:
     return _column(texts, balanced)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def extract_json(texts: pd.Series) -> pd.Series:
     """The extracted value as JSON text; null without one."""
     return _column(texts, lambda t: None if (v := extract(t)) is None else json.dumps(v))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def entity_json(texts: pd.Series) -> pd.Series:
     """The entities of a response, each as JSON text."""
     return _column(texts, lambda t: [json.dumps(e) for e in entity_list(extract(t))])

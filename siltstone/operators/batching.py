@@ -7,11 +7,12 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import constants as K
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def json_size(rows: pd.Series) -> pd.Series:
     """Length of the compact-separator JSON that a model is sent, from Spark's JSON text (another spacing and escaping)."""
     return rows.map(lambda s: len(json.dumps(json.loads(s), default=str)) if s is not None else None).astype("Int32")

@@ -75,7 +75,8 @@ def fold(arrivals: DataFrame, existing: DataFrame | None, now: Column) -> DataFr
     arrivals: (rkey, ord, record); existing: (rkey, record). log: array<struct<ord, outcome, message, incoming>> of the arrivals that
     were not merged silently: each has an outcome of saved, merged or conflicts.
     """
-    lists = arrivals.groupBy("rkey").agg(F.array_sort(F.collect_list(F.struct("ord", "record"))).alias("a"), F.min("ord").alias("first_ord"))
+    by_order = lambda x, y: F.when(x["ord"] < y["ord"], -1).when(x["ord"] > y["ord"], 1).otherwise(0)
+    lists = arrivals.groupBy("rkey").agg(F.array_sort(F.collect_list(F.struct("ord", "record")), by_order).alias("a"), F.min("ord").alias("first_ord"))
     if existing is not None:
         lists = lists.join(existing.withColumnRenamed("record", "before"), "rkey", "left")
     else:

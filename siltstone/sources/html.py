@@ -11,6 +11,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import constants as K
 
@@ -63,12 +64,12 @@ def to_text(html: str | None, faithful: bool = False) -> str | None:
     return re.sub(r"\n{3,}", "\n\n", re.sub(" {2,}", " ", "".join(reader.out))).strip()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_text(pages: pd.Series) -> pd.Series:
     return pd.Series([to_text(p) for p in pages], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_text_faithful(pages: pd.Series) -> pd.Series:
     return pd.Series([to_text(p, True) for p in pages], dtype=object)
 
