@@ -142,8 +142,8 @@ def validate(entities: DataFrame, step: int) -> DataFrame:
         warnings = F.concat(warnings, _codes(F.when(scores.isNull(), F.lit("confidence_scores")), *missing))
     e = e.withColumn("errors", errors)
     if step >= 3:
-        known = F.coalesce(F.col("status").isin("canonical", "duplicate"), F.lit(False))
-        good = F.size("errors") == 0
+        e = e.withColumn("_known", F.coalesce(F.col("status").isin("canonical", "duplicate"), F.lit(False))).withColumn("_good", F.size("errors") == 0)
+        known, good = F.col("_known"), F.col("_good")
         fixes.append(F.when(~known & good, F.lit("status")))
         e = e.withColumn("errors", F.when(~known & ~good, F.concat("errors", F.array(F.concat(F.lit("status:"), F.coalesce("status", F.lit("")))))).otherwise(F.col("errors")))
         e = e.withColumn("status", F.when(~known & good, "canonical").otherwise(F.col("status")))
@@ -162,7 +162,7 @@ def validate(entities: DataFrame, step: int) -> DataFrame:
     e = e.withColumn("warnings", warnings).withColumn("auto_fixes", _codes(*fixes)).withColumn("passed", F.size("errors") == 0)
     if step >= 2:
         e = e.withColumn("confidence_scores", F.col("_clamped"))
-    return e.drop("_raw", "_clamped", "_holder")
+    return e.drop("_raw", "_clamped", "_holder", "_known", "_good")
 
 
 def storage_errors() -> Column:

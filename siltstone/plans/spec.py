@@ -86,7 +86,7 @@ def merge(e: Column, i: Column) -> Column:
     ce, ci = F.coalesce(e["confidence"], F.lit(0.0)), F.coalesce(i["confidence"], F.lit(0.0))
     prose = F.map_zip_with(e["texts"], i["texts"], lambda k, x, y: F.when(k.isin(*ENUMS), _stronger(x, y, ce, ci, False)).otherwise(_stronger(x, y, ce, ci, True)))
     items = F.map_zip_with(e["lists"], i["lists"], lambda k, x, y: F.when(k == "steps", F.when(F.coalesce(F.size(y), F.lit(0)) > F.coalesce(F.size(x), F.lit(0)), y).otherwise(x)).otherwise(union_folded(x, y)))
-    sources = F.array_distinct(F.filter(F.transform(F.split(F.concat_ws(",", e["source_document"], i["source_document"]), ","), F.trim), lambda s: s != ""))
+    sources = F.array_distinct(F.filter(F.transform(F.split(F.concat_ws(",", e["source_document"], i["source_document"]), ","), lambda s: F.trim(s)), lambda s: s != ""))
     return F.struct(
         e["entity_id"].alias("entity_id"), e["entity_type"].alias("entity_type"),
         F.when(F.length(i["name"]) > F.length(e["name"]), i["name"]).otherwise(F.coalesce(e["name"], i["name"])).alias("name"),
