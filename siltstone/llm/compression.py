@@ -83,7 +83,7 @@ def fit(docs: DataFrame, labels: DataFrame, training):
         sizes = Sizes(good, bad)
         return pd.Series([sizes(t) for t in texts])
 
-    scored = sample.where("half = 1").select("label", "doc_id", F.xxhash64("doc_id").alias("h"), run("text").alias("x")).collect()  # at most 2 * SAMPLE
+    scored = sample.where("half = 1").select("label", "doc_id", F.col("grp").alias("h"), run("text").alias("x")).collect()  # at most 2 * SAMPLE
     scored.sort(key=lambda r: (r["h"], r["doc_id"], r["x"]))
     x = np.array([r["x"] for r in scored]).reshape(len(scored), COLUMNS)
     y = np.array([r["label"] for r in scored], float)
