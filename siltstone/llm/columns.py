@@ -29,5 +29,15 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % n
 
 
+def id_and_text(docs: DataFrame) -> DataFrame:
+    """doc_id as text, and text: for pandas, which has no exact 64-bit integers next to nulls."""
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+
+
+def with_own_id(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """out with doc_id in the type that it has in docs."""
+    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import fold
+from .columns import fold, id_and_text, with_own_id
 
 WIDTH = 4096
 SAMPLE = 4000
@@ -147,7 +147,6 @@ def fit(training: DataFrame):
 
 def identify(docs: DataFrame, model) -> DataFrame:
     """doc_id, lang_pred, score, distance, rejected."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     model = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH * CENTROIDS numbers a language
 
     def run(batches):
@@ -175,7 +174,8 @@ def identify(docs: DataFrame, model) -> DataFrame:
                 yield pd.DataFrame({"doc_id": b["doc_id"].iloc[done : done + len(part)].to_numpy(), "lang_pred": pred, "score": score, "distance": distance, "rejected": rejected})
                 done += len(part)
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {id_type}, lang_pred string, score double, distance double, rejected boolean")
+    out = id_and_text(docs).mapInPandas(run, "doc_id string, lang_pred string, score double, distance double, rejected boolean")
+    return with_own_id(out, docs)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
+from .columns import id_and_text, with_own_id
 
 CAPACITY = 1024
 EXACT = 16
@@ -99,7 +100,6 @@ def cut_documents(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY
     """
     source = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # a vocabulary file: 2 MB or so
     lengths = class_lengths(capacity)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches):
         encoder, part, seen = Encoder(source.value), TaskContext.get().partitionId(), Counter()
@@ -118,9 +118,8 @@ def cut_documents(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY
             yield pd.DataFrame(rows, columns=names)
 
     names = ["part", "length", "local", "doc_id", "start", "doc_tokens", "ids"]
-    return docs.select("doc_id", "text").mapInPandas(
-        pieces, f"part int, length int, local long, doc_id {id_type}, start long, doc_tokens long, ids binary"
-    )
+    out = id_and_text(docs).mapInPandas(pieces, "part int, length int, local long, doc_id string, start long, doc_tokens long, ids binary")
+    return with_own_id(out, docs)
 
 
 def pack(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, digest=None) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
+from .columns import id_and_text, with_own_id
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WINDOW = 8
@@ -68,14 +69,13 @@ def measure(text: str | None) -> tuple[int, ...]:
 
 def features(docs: DataFrame) -> DataFrame:
     """doc_id and the columns of FEATURES, in one pass without a shuffle."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", *(x.split()[0] for x in FEATURES.split(", "))]
 
     def run(batches):
         for b in batches:
             yield pd.DataFrame([(i, *measure(t)) for i, t in zip(b["doc_id"], b["text"], strict=True)], columns=names)
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {id_type}, {FEATURES}")
+    return with_own_id(id_and_text(docs).mapInPandas(run, f"doc_id string, {FEATURES}"), docs)
 
 
 def _rule(value: Column, good: Column, bad: Column) -> Column:
