@@ -27,11 +27,13 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zlib
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
+from .columns import id_and_text, with_own_id
 
 CLASSES = 4096
 THETA, ROOT_THETA = 1.0, 1.0
@@ -44,18 +46,18 @@ BUCKET_BYTES = 16_000_000
 END = b""
 
 
-def held_out(doc_id) -> bool:
-    text = "" if doc_id is None or doc_id != doc_id else str(doc_id)
-    return zlib.crc32(text.encode()) % 10 == 0
+def held_out(doc_id: str | None) -> bool:
+    return zlib.crc32((doc_id or "").encode()) % 10 == 0
 
 
 def pack_tokens(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows of documents (chunk, place, doc_id, held_out, n_tokens; bucket null) and of packed tokens (chunk, bucket, ...).
 
-    Packed: words (joined by spaces) and how many tokens each has; for each token, by word, its context's class and
-    its document's place in the chunk; for each document whether it trains.
+    Packed: words (joined by spaces) and how many tokens each has; for each token, by word, its context's class and its
+    document's place in the chunk (16 bits each, places as differences, both zstandard); for each document whether it trains.
+    A chunk has fewer than 2 ** 16 documents, as each counts as 64 characters more than it has.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    assert TOGETHER // 64 < 1 << 16
     names = ["chunk", "bucket", "doc_id", "place", "held_out", "n_tokens", "words", "many", "contexts", "places", "trains"]
 
     def pack(chunk: int, ids: list, texts: list) -> pd.DataFrame:
@@ -73,7 +75,7 @@ def pack_tokens(docs: DataFrame, buckets: int) -> DataFrame:
         context = np.empty(len(word), np.uint16)
         context[1:] = classes[word[:-1]]
         context[np.cumsum(lengths) - lengths] = CLASSES
-        place = np.repeat(np.arange(len(ids), dtype=np.uint32), lengths)
+        place = np.repeat(np.arange(len(ids), dtype=np.uint16), lengths)
         bucket = ((hashes >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((word, bucket[word]))
         word, context, place = word[order], context[order], place[order]
@@ -82,20 +84,18 @@ def pack_tokens(docs: DataFrame, buckets: int) -> DataFrame:
         many = np.diff(np.append(starts, len(word)))
         of = bucket[word[starts]]
         edges = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        compress = zstandard.ZstdCompressor(level=3).compress
         for a, z in zip(edges, np.append(edges[1:], len(starts)), strict=True):
             first, last = starts[a], starts[z] if z < len(starts) else len(word)
             joined = b" ".join(vocabulary[word[s]] for s in starts[a:z])
-            rows.append((chunk, int(of[a]), None, None, None, None, joined, many[a:z].astype("<u4").tobytes(), context[first:last].tobytes(), place[first:last].tobytes(), np.packbits(trains).tobytes() + len(ids).to_bytes(4, "little")))
-        out = pd.DataFrame(rows, columns=names)
-        return out.astype({"bucket": "Int32", "place": "Int32", "held_out": "boolean", "n_tokens": "Int64"})
+            rows.append((chunk, int(of[a]), None, None, None, None, joined, many[a:z].astype("<u4").tobytes(), compress(context[first:last].tobytes()), compress(np.diff(place[first:last], prepend=np.uint16(0)).tobytes()), np.packbits(trains).tobytes() + len(ids).to_bytes(4, "little")))
+        out = pd.DataFrame(rows, columns=names, dtype=object)
+        return out.astype({"chunk": "int64", "bucket": "Int32", "place": "Int32", "held_out": "boolean", "n_tokens": "Int64"})
 
     def run(batches):
         chunk, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
         for b in batches:
-            values = [None if missing else v for v, missing in zip(b["doc_id"].tolist(), b["doc_id"].isna(), strict=True)]
-            for i, t in zip(values, b["text"], strict=True):
-                if kind in ("bigint", "int") and i is not None:
-                    i = int(i)
+            for i, t in zip(b["doc_id"], b["text"], strict=True):
                 ids.append(i)
                 texts.append(t)
                 size += len(t or "") + 64
@@ -105,8 +105,8 @@ def pack_tokens(docs: DataFrame, buckets: int) -> DataFrame:
         if ids:
             yield pack(chunk, ids, texts)
 
-    schema = f"chunk long, bucket int, doc_id {kind}, place int, held_out boolean, n_tokens long, words binary, many binary, contexts binary, places binary, trains binary"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    schema = "chunk long, bucket int, doc_id string, place int, held_out boolean, n_tokens long, words binary, many binary, contexts binary, places binary, trains binary"
+    return with_own_id(id_and_text(docs).mapInPandas(run, schema), docs)
 
 
 class Bucket:
@@ -116,14 +116,15 @@ class Bucket:
         pdf = pdf.sort_values("chunk")
         self.chunks = pdf["chunk"].tolist()
         number: dict[bytes, int] = {}
+        expand = zstandard.ZstdDecompressor().decompress
         word, self.place, trains, context = [], [], [], []
         for words, many, contexts, places, flags in zip(pdf["words"], pdf["many"], pdf["contexts"], pdf["places"], pdf["trains"], strict=True):
             own = [number.setdefault(w, len(number)) for w in words.split(b" ")]
             word.append(np.repeat(np.array(own, np.int64), np.frombuffer(many, "<u4")))
-            self.place.append(np.frombuffer(places, np.uint32))
+            self.place.append(np.cumsum(np.frombuffer(expand(places), np.uint16), dtype=np.uint16))
             n = int.from_bytes(flags[-4:], "little")
             trains.append(np.unpackbits(np.frombuffer(flags[:-4], np.uint8))[:n].astype(bool)[self.place[-1]])
-            context.append(np.frombuffer(contexts, np.uint16))
+            context.append(np.frombuffer(expand(contexts), np.uint16))
         self.docs = [int.from_bytes(f[-4:], "little") for f in pdf["trains"]]
         key = np.concatenate(word) * (CLASSES + 1) + np.concatenate(context)
         del word, context
