@@ -8,8 +8,8 @@ chain of skip edges, whose number grows with the tokens and not with their pairs
 gives each token's label probabilities, which so agree across the document; a token at CERTAIN or more that no base span
 touches becomes a span of its own.
 
-Weights are learned by pseudo-likelihood from SAMPLE documents of at most SAMPLE_TOKENS such tokens, chosen by hash from
-all documents; base spans, and long mixed tokens after a cue such as `token =`, are their labels.
+Weights are learned by pseudo-likelihood from those of SAMPLE documents (expected: a share of all by a hash of their
+texts) that have 1 to SAMPLE_TOKENS such tokens; base spans, long mixed tokens after a cue such as `token =`, and tokens equal to one of these in the document, are their labels.
 
 Edge cases: null and empty texts have no spans; repeated rows are answered each; an empty table gives an empty result (and
 no weights); columns other than doc_id and text are ignored. Patterns are matched in time linear in a text's length.
@@ -26,9 +26,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import id_and_text, with_own_id
+
 KINDS = ("email", "ip", "card", "phone", "secret")
 LABELS = ("O", *KINDS)
-SAMPLE, SAMPLE_TOKENS = 4000, 64
+SAMPLE, SAMPLE_TOKENS = 20_000, 64
 CERTAIN = 0.9
 WIDTH = 1 << 12  # hashed features
 ROUNDS = 8  # of message passing
@@ -118,6 +120,8 @@ def graph(text: str, base: list[tuple[int, int, int]]):
     feats, labels, chain, equal, similar = [], [], [], [], []
     last: dict = {}
     near: dict = {}
+    known: dict = {}
+    keys: list = []
     b = 0
     for i, (s, e) in enumerate(spans):
         core = text[s:e]
@@ -143,9 +147,13 @@ def graph(text: str, base: list[tuple[int, int, int]]):
             equal.append((last[key], i))
         elif like is not None and like in near:
             similar.append((near[like], i))
+        if labels[i]:
+            known[key] = labels[i]
         last[key] = i
+        keys.append(key)
         if like is not None:
             near[like] = i
+    labels = [k or known.get(key, 0) for k, key in zip(labels, keys, strict=True)]  # equal tokens have one weak label
     return spans, feats, labels, chain, equal, similar
 
 
@@ -158,7 +166,7 @@ def _stack(graphs):
         for to, own in zip(edges, g[3:], strict=True):
             to += [(a + offset, b + offset) for a, b in own]
         offset += len(g[0])
-    return np.array(feats, np.int64).reshape(offset, -1), np.array(labels, np.int64), [np.array(e, np.int64).reshape(-1, 2) for e in edges]
+    return np.array(feats, np.int64).reshape(offset, len(feats[0]) if feats else 0), np.array(labels, np.int64), [np.array(e, np.int64).reshape(-1, 2) for e in edges]
 
 
 def _softmax(x):
@@ -219,20 +227,22 @@ def marginals(graphs, weights) -> np.ndarray:
 
 
 def fit(docs: DataFrame):
-    """Weights from the documents of lowest hash among those with 1 to SAMPLE_TOKENS tokens."""
+    """Weights from a sample of the documents."""
 
     def run(batches):
         for b in batches:
             rows = []
             for text in b["text"]:
-                if text and TOKEN.search(text):
+                if TOKEN.search(text):
                     g = graph(text, base_spans(text))
                     if 0 < len(g[0]) <= SAMPLE_TOKENS:
-                        rows.append((zlib.crc32(text.encode()), pickle.dumps(g)))
+                        rows.append((zlib.crc32(text.encode("utf-8", "surrogatepass")), pickle.dumps(g)))
             yield pd.DataFrame(rows, columns=["h", "g"])
 
-    rows = docs.select("text").mapInPandas(run, "h long, g binary").orderBy("h", "g").limit(SAMPLE).collect()
-    return train([pickle.loads(r["g"]) for r in rows])
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    sample = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000 < share).where(F.col("text").isNotNull())
+    rows = sorted((r["h"], bytes(r["g"])) for r in sample.mapInPandas(run, "h long, g binary").collect())
+    return train([pickle.loads(g) for _, g in rows])
 
 
 def find(texts, weights, together: int = 500):
@@ -265,14 +275,14 @@ def find(texts, weights, together: int = 500):
 def spans(docs: DataFrame) -> DataFrame:
     """doc_id and spans: array of (kind, start, end, base), by start and kind; offsets in code points."""
     weights = docs.sparkSession.sparkContext.broadcast(fit(docs))  # WIDTH * 6 numbers
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             found = find(list(b["text"]), weights.value)
             yield pd.DataFrame({"doc_id": b["doc_id"], "spans": [[{"kind": KINDS[k], "start": s, "end": e, "base": o} for s, k, e, o in f] for f in found]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {id_type}, spans array<struct<kind:string,start:long,end:long,base:boolean>>")
+    out = id_and_text(docs).mapInPandas(run, "doc_id string, spans array<struct<kind:string,start:long,end:long,base:boolean>>")
+    return with_own_id(out, docs)
 
 
 def redact(docs: DataFrame) -> DataFrame:

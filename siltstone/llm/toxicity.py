@@ -39,7 +39,7 @@ THRESHOLD = 0.7
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words with signs or digits inside, and letters set apart by signs, as in "id1ot", "id*ot" or "i.d.i.o.t".
-OBFUSCATED = re.compile(r"(?<![^\W_])(?:[^\W_]++(?:[@$!*|+][^\W_]++)+|[^\W\d_]++[0134579]++[^\W\d_]+|[^\W\d_](?:[.\-_][^\W\d_]){3,})(?![^\W_])")
+OBFUSCATED = re.compile(r"(?<![^\W_])(?:[^\W_]++(?:[@$!*|+][^\W_]++)+|[^\W\d_]*+[0134579]++[^\W\d_]++(?:[0134579]++[^\W\d_]*+)*|[^\W\d_](?:[.\-_][^\W\d_]){3,})(?![^\W_])")
 PLAIN = str.maketrans("013457@$!|+", "oieastasilt")
 STRETCHED = re.compile(r"(.)\1{2,}")
 #: Second-person words of the languages at hand.
@@ -239,8 +239,11 @@ def scorer(model):
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without those whose score is threshold or more; learns from all labels."""
-    score = scorer(fit(docs, labels, F.lit(True)))
+    """docs without those whose score is threshold or more; learns from all labels. Without a model, all stay."""
+    model = fit(docs, labels, F.lit(True))
+    if model[1].trees is None:
+        return docs
+    score = scorer(model)
     name = "_toxicity"
     while name in docs.columns:
         name += "_"
