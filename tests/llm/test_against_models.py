@@ -327,15 +327,16 @@ def test_skip_edges_carry_labels():
     key = lambda: "".join(r.choices("0123456789abcdef", k=40))
     train = []
     for _ in range(200):
-        k = key()
+        k, other = key(), key()
         train.append(f'some words token = "{k}" and then many other words in between them {k} 12 of 7 and 3. {r.randint(0, 99)}')
+        train.append(f"a checksum {other} and many words, among them once more {other} of 5")
     weights = pii.train([pii.graph(t, pii.base_spans(t)) for t in train])
-    k = key()
-    found = pii.find([f'token = "{k}" ' + "plain words " * 200 + k], weights)[0]
-    assert [x[1] for x in found][0] == 4
-    alone = pii.marginals([pii.graph(f"plain {k} words", [])], weights)[0][5]
-    t = f'token = "{k}" ' + "plain words " * 200 + k
-    assert pii.marginals([pii.graph(t, [])], weights)[1][5] > alone  # the distant cue raises it
+    k, far = key(), "plain words " * 200
+    alone = pii.marginals([pii.graph(f"{far} {k} words", [])], weights)[0][5]
+    t = f'token = "{k}" {far} {k}'
+    cued, repeated = pii.marginals([pii.graph(t, [])], weights)[:, 5]
+    assert alone < 0.5 < repeated and cued > 0.9  # the distant cue decides
+    assert [x[1] for x in pii.find([t, f"{far} {k}"], weights)[0]] == [4, 4] and not pii.find([f"{far} {k}"], weights)[0]
 
 
 # op10
