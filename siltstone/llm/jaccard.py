@@ -15,8 +15,9 @@ equal-size bands of 1 to 4 features, enumerated at the levels where linked sets
 are never signed.
 
 Signatures are dealt out by hash, in packed arrays, each set of a batch once. Sets sharing a signature are candidates; nothing
-emits all pairs of a large group: groups of up to SMALL give their pairs, larger ones a star, and those that still hold several
-components after a first round are compared in blocks in place. Candidates are filtered by size (0.8) and by odd
+emits all pairs of a large group: groups of up to SMALL give their pairs, larger ones a star. Groups that still hold several components are then
+searched in place, in rounds: each gives forests of candidates that would join their components, until all candidates between
+different components have failed. Candidates are filtered by size (0.8) and by odd
 sketches (the parity of shingles by hash in a bit array: the bits that differ never outnumber d), both of which are safe, and then
 counted exactly on the whole sets. The components of all links are found in rounds; no link or component reaches the driver.
 
@@ -37,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
+from .columns import id_and_text, with_own_id
 from ..operators.components import components
 
 SHINGLE = 5
@@ -46,7 +48,7 @@ PART = 4
 #: Groups of up to so many sets give all their pairs.
 SMALL = 8
 #: Shingles worked on at once, and bytes of text for each bucket of signatures.
-TOGETHER = 1_000_000
+TOGETHER = 400_000
 BUCKET_BYTES = 32_000_000
 
 
@@ -71,7 +73,7 @@ class Shingler:
         if not words:
             return np.zeros(0, np.uint64)
         known, hashes = self.known, []
-        if len(known) > 400_000:
+        if len(known) > 200_000:
             known.clear()
         for w in words:
             h = known.get(w)
@@ -92,9 +94,9 @@ def set_key(shingles: np.ndarray) -> int:
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """Parities of the shingles by hash, in 64 bits or the power of two that is not below their number."""
+    """Parities of the shingles by hash, in 64 bits or the power of two that is not below four times their number."""
     bits = 64
-    while bits < len(shingles):
+    while bits < 4 * len(shingles):
         bits *= 2
     odd = np.bincount((mix(shingles) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
@@ -144,7 +146,6 @@ def close_sizes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, set_key, sketch) of each row; the empty set's key is null."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         shingler = Shingler()
@@ -153,10 +154,10 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
                 s = shingler(text)
                 rows.append((doc_id, len(s), set_key(s) if len(s) else None, sketch(s) if len(s) else None))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_key", "sketch"])
-            yield out.astype({"set_key": "Int64"})
+            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_key", "sketch"], dtype=object)
+            yield out.astype({"n_shingles": "int64", "set_key": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {id_type}, n_shingles long, set_key long, sketch binary")
+    return with_own_id(id_and_text(docs).mapInPandas(run, "doc_id string, n_shingles long, set_key long, sketch binary"), docs)
 
 
 def signature_blobs(docs: DataFrame, buckets: int) -> DataFrame:
@@ -196,7 +197,7 @@ def signature_blobs(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def candidates(blobs: DataFrame) -> DataFrame:
-    """(grp, a, b, na, nb): pairs of keys and sizes; rows with a group list the members (a, na) of large groups."""
+    """(bucket, grp, a, b, na, nb): pairs of keys and sizes; rows with a group list the members (a, na) of large groups."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         raw = np.frombuffer(b"".join(pdf["signs"]), np.uint8).reshape(-1, 5)
@@ -226,15 +227,15 @@ def candidates(blobs: DataFrame) -> DataFrame:
         ok = close_sizes(size[a], size[b])
         a, b = a[ok], b[ok]
         pairs = pd.DataFrame({"a": key[a], "b": key[b], "na": size[a], "nb": size[b]}).drop_duplicates()
-        pairs.insert(0, "grp", None)
+        pairs.insert(0, "grp", pd.array([None] * len(pairs), dtype="Int64"))
         big = np.flatnonzero(~in_small)
         if len(big):
-            bucket = int(pdf["bucket"].iloc[0])
-            grp = [f"{bucket}:{s}" for s in sign[big]]
+            grp = pd.array(sign[big].astype(np.int64), dtype="Int64")
             pairs = pd.concat([pairs, pd.DataFrame({"grp": grp, "a": key[big], "b": key[big], "na": size[big], "nb": size[big]})])
+        pairs.insert(0, "bucket", int(pdf["bucket"].iloc[0]))
         return pairs
 
-    return blobs.groupBy("bucket").applyInPandas(run, "grp string, a long, b long, na int, nb int")
+    return blobs.groupBy("bucket").applyInPandas(run, "bucket int, grp long, a long, b long, na int, nb int")
 
 
 def near_by_sketch(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -278,34 +279,89 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInPandas(count, "a long, b long")
 
 
-def across_components(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of different components within large groups that sizes and sketches don't rule out."""
-    m = members.join(labels, members["a"] == labels["node"], "left").select("grp", "a", "na", F.coalesce("component", "a").alias("component"))
-    mixed = m.groupBy("grp").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("grp")
-    m = m.join(mixed, "grp", "left_semi").join(sets.select(F.col("set_key").alias("a"), "sketch"), "a")
+def close_pairs(size: np.ndarray, comp: np.ndarray, sketches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a group's members, in different components, that sizes and sketches don't rule out.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["na", "a"])
-        key, size, comp = pdf["a"].to_numpy(), pdf["na"].to_numpy().astype(np.int64), pdf["component"].to_numpy()
-        bits = min(map(len, pdf["sketch"]))
-        folded = []
-        for s in pdf["sketch"]:
-            x = np.frombuffer(s, np.uint8)
-            while len(x) > bits:
-                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-            folded.append(x)
-        folded = np.stack(folded).view(np.uint64)
-        last = np.searchsorted(size, 100 * size // SIMILARITY, side="right")  # beyond, sizes are too far apart
-        pairs = []
-        for i in range(len(key)):
-            j = np.arange(i + 1, last[i])
-            j = j[comp[j] != comp[i]]
-            if len(j):
-                j = j[9 * np.bitwise_count(folded[j] ^ folded[i]).sum(1).astype(np.int64) <= size[i] + size[j]]
-                pairs.append(pd.DataFrame({"a": key[i], "b": key[j]}))
-        return pd.concat(pairs) if pairs else pd.DataFrame({"a": [], "b": []}).astype("int64")
-
-    return m.groupBy("grp").applyInPandas(run, "a long, b long").distinct()
+    Only members outside of the group's largest component are compared with all others, some rows at a time.
+    """
+    names, number = np.unique(comp, return_inverse=True)
+    rows = np.flatnonzero(number != np.bincount(number).argmax())
+    width = np.array([len(x) for x in sketches])
+    left, right = [], []
+    for w in np.unique(width):
+        # Sets of this width with those of the same or the next one; larger sets are out of reach.
+        near = np.flatnonzero((width == w) | (width == 2 * w))
+        bits = np.stack([sketches[i] if width[i] == w else sketches[i][: len(sketches[i]) // 2] ^ sketches[i][len(sketches[i]) // 2 :] for i in near])
+        is_row, at_width = np.isin(near, rows), width[near] == w
+        step = max(1, 4_000_000 // (bits.shape[1] * len(near)))
+        first = np.flatnonzero(is_row)
+        for part in (first[i : i + step] for i in range(0, len(first), step)):
+            i, j = near[part][:, None], near[None, :]
+            # Once for each pair, and at the width of the narrower of both.
+            wanted = (comp[i] != comp[j]) & (~is_row[None, :] | (i < j)) & (at_width[part][:, None] | at_width[None, :])
+            wanted &= close_sizes(size[i], size[j])
+            p, q = np.nonzero(wanted)
+            if not len(p):
+                continue
+            together = max(1, 1_000_000 // bits.shape[1])  # some 8 MB of sketches
+            for k in range(0, len(p), together):
+                x, y = part[p[k : k + together]], q[k : k + together]
+                ok = 9 * np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64) <= size[near[x]] + size[near[y]]
+                left.append(near[x[ok]])
+                right.append(near[y[ok]])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+def across_components(members: DataFrame, labels: DataFrame, sets: DataFrame, failed: DataFrame, forests: int) -> DataFrame:
+    """(bucket, grp, a, b): candidates between components of large groups that sizes, sketches and failed (bucket, a, b) don't rule out.
+
+    From each group as many forests at most: pairs that would, if they were links, join what can be joined. Their grp is -1;
+    rows of another grp name the groups that have any, as only these may have more.
+    """
+    m = members.join(labels, members["a"] == labels["node"], "left").select("bucket", "grp", "a", "na", F.coalesce("component", "a").alias("component"))
+    mixed = m.groupBy("bucket", "grp").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket", "grp")
+    m = stage(m.join(mixed, ["bucket", "grp"], "left_semi"), "members")
+    held = m.select("bucket", F.col("a").alias("set_key")).distinct().join(sets.select("set_key", "sketch"), "set_key")
+    side = held.select("bucket", F.col("set_key").alias("a"), F.lit(0).cast("long").alias("b"), "sketch")
+    side = stage(side.unionByName(failed.withColumn("sketch", F.lit(None).cast("binary"))), "sketches")
+
+    def run(pdf: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
+        pairs: list[tuple[int, int]] = []
+        active: list[int] = []
+        if len(pdf):
+            is_set = side["sketch"].notna().to_numpy()
+            sketches = {k: np.frombuffer(x, np.uint64) for k, x in zip(side["a"][is_set], side["sketch"][is_set], strict=True)}
+            known = set(zip(side["a"][~is_set].tolist(), side["b"][~is_set].tolist(), strict=True))
+            out: set[tuple[int, int]] = set()
+            pdf = pdf.sort_values(["grp", "a"])
+            grp, keys, sizes, comps = (pdf[c].to_numpy() for c in ("grp", "a", "na", "component"))
+            edges = np.flatnonzero(np.append(True, grp[1:] != grp[:-1]))
+            for first, last in zip(edges, np.append(edges[1:], len(grp)), strict=True):
+                key, comp = keys[first:last], comps[first:last]
+                left, right = close_pairs(sizes[first:last].astype(np.int64), comp, [sketches[k] for k in key])
+                own = [(x, y, (int(min(key[x], key[y])), int(max(key[x], key[y])))) for x, y in zip(left.tolist(), right.tolist(), strict=True)]
+                own = [o for o in own if o[2] not in known]
+                if own:
+                    active.append(int(grp[first]))
+                for _ in range(forests):
+                    joined, rest = comp.copy(), []
+                    for x, y, pair in own:
+                        if joined[x] == joined[y]:
+                            rest.append((x, y, pair))
+                            continue
+                        joined[joined == joined[y]] = joined[x]
+                        if pair not in out:  # another group of the bucket may have given it
+                            out.add(pair)
+                            pairs.append(pair)
+                    own = rest
+                    if not own:
+                        break
+        found = pd.DataFrame([(-1, a, b) for a, b in pairs] + [(g, 0, 0) for g in active], columns=["grp", "a", "b"], dtype="int64")
+        found.insert(0, "bucket", int(pdf["bucket"].iloc[0]) if len(pdf) else 0)
+        return found
+
+    return m.groupBy("bucket").cogroup(side.groupBy("bucket")).applyInPandas(run, "bucket int, grp long, a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -318,9 +374,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = found.where("grp IS NULL").select("a", "b", "na", "nb").distinct()
     links = stage(verified(stage(near_by_sketch(pairs, sets), "pairs"), docs, sets), "links")
     labels = stage(components(links), "components")
-    more = stage(across_components(found.where("grp IS NOT NULL"), labels, sets), "pairs")
-    if not more.isEmpty():
-        labels = stage(components(links.unionByName(stage(verified(more, docs, sets), "links"))), "components")
+    large, forests = found.where("grp IS NOT NULL").select("bucket", "grp", "a", "na"), 1
+    failed = docs.sparkSession.createDataFrame([], "bucket int, a long, b long")
+    while True:
+        seen = stage(across_components(large, labels, sets, failed, forests), "across")
+        more = seen.where("grp = -1")
+        if more.isEmpty():
+            break
+        large = large.join(seen.where("grp >= 0").select("bucket", "grp"), ["bucket", "grp"], "left_semi")
+        right = stage(verified(stage(more.select("a", "b").distinct(), "pairs"), docs, sets), "links")
+        if not right.isEmpty():
+            links = links.unionByName(right)
+            labels = stage(components(links), "components")
+        failed = stage(failed.unionByName(more.join(right, ["a", "b"], "left_anti").select("bucket", "a", "b")), "failed")
+        forests *= 16  # so that groups with many near misses don't take many rounds
     whole = members.join(labels, members["set_key"] == labels["node"], "left").select("doc_id", "n_shingles", "set_key", F.coalesce("component", "set_key").alias("component"))
     least = whole.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = whole.join(least, "component", "left")
