@@ -16,6 +16,10 @@ documents and parent entries there). One job counts, seats at first and sums up
 a second one samples given these totals (as in approximate distributed Gibbs sampling), and sums log10 probabilities by
 document. All training tokens count and all tokens of all texts are scored.
 
+Words that hold 1 / HOT or more of the tokens of SAMPLE documents (at most HOT words, and the end token) would overfill a bucket. Their
+tokens are dealt out by word and context; what their parent entries need, two sums for each such word, goes through the driver, and
+their parent probabilities stay as they are after the first seating.
+
 Edge cases: null and empty texts are the end token alone; a null doc_id has the fold of the empty text; repeated rows count and
 are scored each; with no training token every word is unknown; an empty table gives an empty result; columns other
 than doc_id and text are ignored.
@@ -23,10 +27,12 @@ than doc_id and text are ignored.
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import xxhash
-import zlib
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,6 +46,7 @@ THETA, ROOT_THETA = 1.0, 1.0
 STIRLING = 200
 MOVES, BURN_IN, SAMPLES = 6, 3, 4
 SEED = 20
+HOT, SAMPLE = 200, 2000
 #: Characters packed at once, and bytes of text for each bucket of words.
 TOGETHER = 3_000_000
 BUCKET_BYTES = 16_000_000
@@ -50,22 +57,43 @@ def held_out(doc_id: str | None) -> bool:
     return zlib.crc32((doc_id or "").encode()) % 10 == 0
 
 
-def pack_tokens(docs: DataFrame, buckets: int) -> DataFrame:
+def tokens_of(text: str | None) -> list[bytes]:
+    """Words with A-Z lower-cased, then the end."""
+    return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
+
+
+def hot_words(docs: DataFrame) -> dict[bytes, float]:
+    """Frequent words and their share of the tokens of a sample of documents (chosen by a hash of their texts)."""
+
+    def run(batches):
+        for b in batches:
+            counts = Counter(w for t in b["text"] for w in tokens_of(t))
+            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    picked = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000 < share
+    counts = docs.select("text").where(picked).mapInPandas(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = stage(counts, "words")
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    rows = counts.where((F.col("n") >= total / HOT) | (F.length("word") == 0)).collect()  # at most HOT + 1
+    return {bytes(r["word"]): r["n"] / total for r in rows} or {END: 1.0}
+
+
+def pack_tokens(docs: DataFrame, buckets: int, hot: dict[bytes, float]) -> DataFrame:
     """Rows of documents (chunk, place, doc_id, held_out, n_tokens; bucket null) and of packed tokens (chunk, bucket, ...).
 
-    Packed: words (joined by spaces) and how many tokens each has; for each token, by word, its context's class and its
-    document's place in the chunk (16 bits each, places as differences, both zstandard); for each document whether it trains.
+    Packed (zstandard): words (joined by spaces) and how many tokens each has; for each token, by word, its context's class, its
+    document's place in the chunk (16 bits each, places as differences) and whether it trains (a bit); size: documents in the chunk.
     A chunk has fewer than 2 ** 16 documents, as each counts as 64 characters more than it has.
     """
     assert TOGETHER // 64 < 1 << 16
-    names = ["chunk", "bucket", "doc_id", "place", "held_out", "n_tokens", "words", "many", "contexts", "places", "trains"]
+    names = ["chunk", "bucket", "doc_id", "place", "held_out", "n_tokens", "words", "many", "contexts", "places", "trains", "size"]
 
     def pack(chunk: int, ids: list, texts: list) -> pd.DataFrame:
         number: dict[bytes, int] = {}
         tokens, lengths, trains = [], [], np.array([not held_out(i) for i in ids])
         for text in texts:
-            words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-            words.append(END)
+            words = tokens_of(text)
             tokens += [number.setdefault(w, len(number)) for w in words]
             lengths.append(len(words))
         lengths, word = np.array(lengths), np.array(tokens, np.int64)
@@ -77,20 +105,23 @@ def pack_tokens(docs: DataFrame, buckets: int) -> DataFrame:
         context[np.cumsum(lengths) - lengths] = CLASSES
         place = np.repeat(np.arange(len(ids), dtype=np.uint16), lengths)
         bucket = ((hashes >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((word, bucket[word]))
-        word, context, place = word[order], context[order], place[order]
-        rows = [(chunk, None, i, p, not t, int(n), None, None, None, None, None) for p, (i, t, n) in enumerate(zip(ids, trains, lengths, strict=True))]
-        starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        bucket = bucket[word]
+        spread = np.array([w in hot for w in vocabulary])[word]
+        bucket[spread] = (hashes[word[spread]] // np.uint64(7) + context[spread].astype(np.uint64) * np.uint64(0x9E3779B1)) % np.uint64(buckets)
+        order = np.lexsort((word, bucket))
+        word, context, place, bucket = word[order], context[order], place[order], bucket[order]
+        rows = [(chunk, None, i, p, not t, int(n), None, None, None, None, None, None) for p, (i, t, n) in enumerate(zip(ids, trains, lengths, strict=True))]
+        starts = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (bucket[1:] != bucket[:-1])))
         many = np.diff(np.append(starts, len(word)))
-        of = bucket[word[starts]]
+        of = bucket[starts]
         edges = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
         compress = zstandard.ZstdCompressor(level=3).compress
         for a, z in zip(edges, np.append(edges[1:], len(starts)), strict=True):
             first, last = starts[a], starts[z] if z < len(starts) else len(word)
             joined = b" ".join(vocabulary[word[s]] for s in starts[a:z])
-            rows.append((chunk, int(of[a]), None, None, None, None, joined, many[a:z].astype("<u4").tobytes(), compress(context[first:last].tobytes()), compress(np.diff(place[first:last], prepend=np.uint16(0)).tobytes()), np.packbits(trains).tobytes() + len(ids).to_bytes(4, "little")))
+            rows.append((chunk, int(of[a]), None, None, None, None, compress(joined), compress(many[a:z].astype("<u4").tobytes()), compress(context[first:last].tobytes()), compress(np.diff(place[first:last], prepend=np.uint16(0)).tobytes()), compress(np.packbits(trains[place[first:last]]).tobytes()), len(ids)))
         out = pd.DataFrame(rows, columns=names, dtype=object)
-        return out.astype({"chunk": "int64", "bucket": "Int32", "place": "Int32", "held_out": "boolean", "n_tokens": "Int64"})
+        return out.astype({"chunk": "int64", "bucket": "Int32", "place": "Int32", "held_out": "boolean", "n_tokens": "Int64", "size": "Int32"})
 
     def run(batches):
         chunk, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
@@ -105,27 +136,27 @@ def pack_tokens(docs: DataFrame, buckets: int) -> DataFrame:
         if ids:
             yield pack(chunk, ids, texts)
 
-    schema = "chunk long, bucket int, doc_id string, place int, held_out boolean, n_tokens long, words binary, many binary, contexts binary, places binary, trains binary"
+    schema = "chunk long, bucket int, doc_id string, place int, held_out boolean, n_tokens long, words binary, many binary, contexts binary, places binary, trains binary, size int"
     return with_own_id(id_and_text(docs).mapInPandas(run, schema), docs)
 
 
 class Bucket:
     """The tokens of some words: entries (word, context) with their training customers."""
 
-    def __init__(self, pdf: pd.DataFrame) -> None:
+    def __init__(self, pdf: pd.DataFrame, hot: list[bytes]) -> None:
         pdf = pdf.sort_values("chunk")
         self.chunks = pdf["chunk"].tolist()
         number: dict[bytes, int] = {}
         expand = zstandard.ZstdDecompressor().decompress
         word, self.place, trains, context = [], [], [], []
-        for words, many, contexts, places, flags in zip(pdf["words"], pdf["many"], pdf["contexts"], pdf["places"], pdf["trains"], strict=True):
-            own = [number.setdefault(w, len(number)) for w in words.split(b" ")]
-            word.append(np.repeat(np.array(own, np.int64), np.frombuffer(many, "<u4")))
-            self.place.append(np.cumsum(np.frombuffer(expand(places), np.uint16), dtype=np.uint16))
-            n = int.from_bytes(flags[-4:], "little")
-            trains.append(np.unpackbits(np.frombuffer(flags[:-4], np.uint8))[:n].astype(bool)[self.place[-1]])
+        for words, many, contexts, flags in zip(pdf["words"], pdf["many"], pdf["contexts"], pdf["trains"], strict=True):
+            own = [number.setdefault(w, len(number)) for w in expand(words).split(b" ")]
+            word.append(np.repeat(np.array(own, np.int64), np.frombuffer(expand(many), "<u4")))
             context.append(np.frombuffer(expand(contexts), np.uint16))
-        self.docs = [int.from_bytes(f[-4:], "little") for f in pdf["trains"]]
+            trains.append(np.unpackbits(np.frombuffer(expand(flags), np.uint8))[: len(context[-1])].astype(bool))
+        if "places" in pdf:  # only for scores
+            self.place = [np.cumsum(np.frombuffer(expand(p), np.uint16), dtype=np.uint16) for p in pdf["places"]]
+            self.docs = pdf["size"].tolist()
         key = np.concatenate(word) * (CLASSES + 1) + np.concatenate(context)
         del word, context
         trains = np.concatenate(trains)
@@ -135,6 +166,9 @@ class Bucket:
         self.word, self.context = entry // (CLASSES + 1), entry % (CLASSES + 1)
         self.customers = np.bincount(self.of, trains, len(entry)).astype(np.int64)
         self.counts = np.bincount(self.word, self.customers, len(number)).astype(np.int64)
+        #: Of the frequent words that are here: their numbers in this bucket, and in hot.
+        held = [(number[w], k) for k, w in enumerate(hot) if w in number]
+        self.hot, self.hot_index = np.array([h for h, _ in held], np.int64), np.array([k for _, k in held], np.int64)
 
 
 def discount(counts: np.ndarray) -> tuple[int, int]:
@@ -184,13 +218,15 @@ class Level:
 
 
 class Seating:
-    """The seating of a bucket's words, given the totals of all restaurants."""
+    """The seating of a bucket's words, given the totals of all restaurants and the parent probabilities of frequent words."""
 
-    def __init__(self, b: Bucket, number: int, d: float, root_d: float, tables: np.ndarray, customers: np.ndarray, root: tuple[float, float, int]) -> None:
+    def __init__(self, b: Bucket, number: int, d: float, root_d: float, tables: np.ndarray, customers: np.ndarray, root: tuple[float, float, int], p_hot: np.ndarray) -> None:
+        self.p_hot = p_hot[b.hot_index]
         self.b, self.d, self.root_d, self.tables, self.total = b, d, root_d, tables, customers
         self.root_customers, self.root_tables, self.words = root
         rng = np.random.default_rng([SEED, number])
         known = np.maximum(b.counts, 0.5) / max(1.0, customers.sum())
+        known[b.hot] = self.p_hot
         self.contexts = Level(b.customers, d, rng, self.mass(known))
         per_word = self.per_word()
         self.root = Level(per_word, root_d, rng, np.full(len(per_word), self.root_mass()))
@@ -201,11 +237,19 @@ class Seating:
     def root_mass(self) -> float:
         return (ROOT_THETA + self.root_d * self.root_tables) / (self.words + 1)
 
-    def per_word(self) -> np.ndarray:
+    def tables_by_word(self) -> np.ndarray:
         return np.bincount(self.b.word, self.contexts.t, len(self.b.counts)).astype(np.int64)
 
+    def per_word(self) -> np.ndarray:
+        """Customers of the parent, but for frequent words, which other buckets hold too."""
+        c = self.tables_by_word()
+        c[self.b.hot] = 0
+        return c
+
     def p_word(self) -> np.ndarray:
-        return (self.root.c - self.root_d * self.root.t + self.root_mass()) / (ROOT_THETA + self.root_customers)
+        p = (self.root.c - self.root_d * self.root.t + self.root_mass()) / (ROOT_THETA + self.root_customers)
+        p[self.b.hot] = self.p_hot
+        return p
 
     def sweep(self) -> None:
         self.contexts.sweep(self.mass(self.p_word()))
@@ -218,33 +262,53 @@ class Seating:
         return (self.b.customers - self.d * self.contexts.t + self.mass(p)) / (THETA + self.total[context])
 
 
-def totals(blobs: DataFrame, buckets: int) -> tuple:
-    """(tables, customers by restaurant; root customers, tables, words; discounts; training tokens) after a first seating."""
+def totals(blobs: DataFrame, buckets: int, hot: dict[bytes, float]) -> dict:
+    """The restaurants' totals, discounts and what is known of frequent words, after a first seating."""
+    hot_list, shares = list(hot), np.array(list(hot.values()))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        b = Bucket(pdf)
+        b = Bucket(pdf, hot_list)
         number = int(pdf["bucket"].iloc[0])
         customers = np.bincount(b.context, b.customers, CLASSES + 1)
         d = discount_of(*discount(b.customers))
         distinct = np.bincount(b.context, b.customers > 0, CLASSES + 1)
-        words = int((b.counts > 0).sum())
-        contexts = np.bincount(b.word, b.customers > 0, len(b.counts))  # for the root's discount: a table a context
+        own = b.counts > 0
+        own[b.hot] = False
+        words = int(own.sum())
+        contexts = np.bincount(b.word, b.customers > 0, len(b.counts))[own]  # for the root's discount: a table a context
         # As if all buckets were like this one; the totals are summed over all before anything is scored.
-        s = Seating(b, number, d, discount_of(*discount(contexts)), distinct * buckets, customers * buckets, (float(distinct.sum() * buckets), float(words * buckets), words * buckets))
+        s = Seating(b, number, d, discount_of(*discount(contexts)), distinct * buckets, customers * buckets, (float(distinct.sum() * buckets), float(words * buckets), words * buckets), shares)
         for _ in range(BURN_IN):
             s.sweep()
         tables = np.bincount(b.context, s.contexts.t, CLASSES + 1)
-        rows = {"m": np.arange(CLASSES + 1), "tables": tables, "customers": customers}
         ones, twos = discount(b.customers)
         root_ones, root_twos = discount(contexts)
-        extra = {"m": [-1, -2, -3], "tables": [s.root.t.sum(), ones, root_ones], "customers": [words, twos, root_twos]}
-        return pd.concat([pd.DataFrame(rows), pd.DataFrame(extra)]).astype({"m": "int32", "tables": "int64", "customers": "int64"})
+        parts = [
+            {"m": np.arange(CLASSES + 1), "tables": tables, "customers": customers},
+            {"m": [-1, -2, -3], "tables": [s.root.t.sum(), ones, root_ones], "customers": [words, twos, root_twos]},
+            {"m": -4 - b.hot_index, "tables": s.tables_by_word()[b.hot], "customers": b.counts[b.hot]},
+        ]
+        return pd.concat([pd.DataFrame(p) for p in parts]).astype({"m": "int32", "tables": "int64", "customers": "int64"})
 
     out = blobs.groupBy("bucket").applyInPandas(run, "m int, tables long, customers long").groupBy("m").agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers"))
-    found = {r["m"]: (r["tables"], r["customers"]) for r in out.collect()}  # CLASSES + 4 rows
+    found = {r["m"]: (r["tables"], r["customers"]) for r in out.collect()}  # CLASSES + 4 + HOT rows
     tables, customers = (np.array([found.get(m, (0, 0))[k] for m in range(CLASSES + 1)], float) for k in (0, 1))
+    hot_tables, hot_counts = (np.array([found.get(-4 - i, (0, 0))[k] for i in range(len(hot))], np.int64) for k in (0, 1))
     root_tables, words = found.get(-1, (0, 0))
-    return tables, customers, (float(tables.sum()), float(root_tables), words), discount_of(*found.get(-2, (0, 0))), discount_of(*found.get(-3, (0, 0))), int(customers.sum())
+    words += int((hot_counts > 0).sum())
+    d, root_d = discount_of(*found.get(-2, (0, 0))), discount_of(*found.get(-3, (0, 0)))
+    # The parent's tables of frequent words, whose customers are the tables of all buckets.
+    mass = (ROOT_THETA + root_d * root_tables) / (words + 1)
+    level = Level(hot_tables, root_d, np.random.default_rng([SEED, buckets]), np.full(len(hot), mass))
+    for _ in range(BURN_IN):
+        level.sweep(np.full(len(hot), mass))
+    root_tables += int(level.t.sum())
+    mass = (ROOT_THETA + root_d * root_tables) / (words + 1)
+    p_hot = (hot_tables - root_d * level.t + mass) / (ROOT_THETA + tables.sum())
+    return {
+        "tables": tables, "customers": customers, "root": (float(tables.sum()), float(root_tables), words), "d": d, "root_d": root_d,
+        "p_hot": p_hot, "hot_counts": hot_counts, "hot": hot_list, "tokens": int(customers.sum()),
+    }
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -252,16 +316,19 @@ def score(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, int(size // BUCKET_BYTES))
-    packed = stage(pack_tokens(docs, buckets), "tokens")
-    blobs = packed.where("bucket IS NOT NULL").select("chunk", "bucket", "words", "many", "contexts", "places", "trains")
-    given = totals(blobs, buckets)
-    tables, customers, root, d, root_d, n = given
-    model = docs.sparkSession.sparkContext.broadcast((tables, customers))  # 2 * (CLASSES + 1) numbers
-    denominator = n + 0.1 * (root[2] + 1)
+    hot = hot_words(docs)
+    packed = stage(pack_tokens(docs, buckets, hot), "tokens")
+    blobs = packed.where("bucket IS NOT NULL").select("chunk", "bucket", "words", "many", "contexts", "places", "trains", "size")
+    given = totals(blobs.drop("places", "size"), buckets, hot)
+    n = given["tokens"]
+    model = docs.sparkSession.sparkContext.broadcast(given)  # 2 * (CLASSES + 1) + 3 * HOT numbers
+    denominator = n + 0.1 * (given["root"][2] + 1)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        b = Bucket(pdf)
-        s = Seating(b, int(pdf["bucket"].iloc[0]), d, root_d, *model.value, root)
+        g = model.value
+        b = Bucket(pdf, g["hot"])
+        s = Seating(b, int(pdf["bucket"].iloc[0]), g["d"], g["root_d"], g["tables"], g["customers"], g["root"], g["p_hot"])
+        b.counts[b.hot] = g["hot_counts"][b.hot_index]
         for _ in range(BURN_IN):
             s.sweep()
         mean = np.zeros(len(b.customers))
@@ -269,15 +336,17 @@ def score(docs: DataFrame) -> DataFrame:
             s.sweep()
             mean += s.predictive() / SAMPLES
         values = np.log10(mean), np.log10((b.counts + 0.1) / denominator)[b.word], (b.counts > 0)[b.word].astype(float)
+        kinds = np.float64, np.float64, np.uint32
         rows, at = [], 0
         for chunk, many, place in zip(b.chunks, b.docs, b.place, strict=True):
             of = b.of[at : at + len(place)]
             at += len(place)
-            rows.append((chunk, *(np.bincount(place, v[of], many).tobytes() for v in values)))
+            rows.append((chunk, *(np.bincount(place, v[of], many).astype(k).tobytes() for v, k in zip(values, kinds, strict=True))))
         return pd.DataFrame(rows, columns=["chunk", "score", "base", "known"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        score, base, known = (np.sum([np.frombuffer(x) for x in pdf[c].to_numpy()[np.argsort(pdf["bucket_hash"].to_numpy(), kind="stable")]], axis=0) for c in ("score", "base", "known"))
+        pdf = pdf.sort_values("bucket_hash", kind="stable")
+        score, base, known = (np.sum([np.frombuffer(x, k) for x in pdf[c]], axis=0) for c, k in (("score", np.float64), ("base", np.float64), ("known", np.uint32)))
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[0], "place": np.arange(len(score), dtype=np.int32), "score": score, "base_score": base, "n_known": known.astype(np.int64)})
 
     parts = blobs.groupBy("bucket").applyInPandas(run, "chunk long, score binary, base binary, known binary")

@@ -43,10 +43,10 @@ def test_language_model_base(spark, sf_dir, texts):
 
 def test_language_model_probabilities_sum_to_one(spark):
     docs = spark.createDataFrame([(i, " ".join(random.Random(i).choices("a b c d e f".split(), k=20))) for i in range(30)], "doc_id long, text string")
-    blobs = language_model.pack_tokens(docs, 1).where("bucket IS NOT NULL").toPandas()
-    b = language_model.Bucket(blobs)
+    blobs = language_model.pack_tokens(docs, 1, {}).where("bucket IS NOT NULL").toPandas()
+    b = language_model.Bucket(blobs, [])
     customers = np.bincount(b.context, b.customers, language_model.CLASSES + 1).astype(float)
-    s = language_model.Seating(b, 0, 0.5, 0.5, np.zeros_like(customers), customers, (1.0, 1.0, int((b.counts > 0).sum())))
+    s = language_model.Seating(b, 0, 0.5, 0.5, np.zeros_like(customers), customers, (1.0, 1.0, int((b.counts > 0).sum())), np.zeros(0))
     for _ in range(3):
         s.sweep()
         s.tables = np.bincount(b.context, s.contexts.t, language_model.CLASSES + 1).astype(float)
@@ -62,6 +62,23 @@ def test_language_model_probabilities_sum_to_one(spark):
         assert math.isclose(total, 1, rel_tol=1e-9)
 
 
+def test_frequent_words_are_dealt_out(spark):
+    r = random.Random(6)
+    docs = spark.createDataFrame([(i, " ".join(r.choices(["the", *(f"w{k}" for k in range(300))], [300, *[1] * 300], k=200))) for i in range(40)], "doc_id long, text string")
+    hot = language_model.hot_words(docs)
+    assert set(hot) == {b"the", b""}
+    blobs = language_model.pack_tokens(docs, 8, hot).where("bucket IS NOT NULL").toPandas()
+    held = [language_model.Bucket(g, list(hot)) for _, g in blobs.groupby("bucket")]
+    assert sum(len(b.hot) > 0 for b in held) == 8 and sum(len(b.of) for b in held) == 40 * 201
+    given = language_model.totals(language_model.pack_tokens(docs, 8, hot).where("bucket IS NOT NULL"), 8, hot)
+    train = Counter(w for x in docs.collect() if not language_model.held_out(str(x["doc_id"])) for w in language_model.tokens_of(x["text"]))
+    assert dict(zip(given["hot"], given["hot_counts"].tolist(), strict=True)) == {w: train[w] for w in hot} and given["root"][2] == len(train) and given["tokens"] == sum(train.values())
+    rows = {x["doc_id"]: x for x in language_model.score(docs).collect()}
+    for x in docs.collect():
+        base = sum(math.log10((train[w] + 0.1) / (sum(train.values()) + 0.1 * (len(train) + 1))) for w in language_model.tokens_of(x["text"]))
+        assert math.isclose(rows[x["doc_id"]]["base_score"], base, rel_tol=1e-9)
+
+
 def test_stirling_shares():
     """S(3, 2) with discount d is 3 (1 - d) and S(2, 1) = 1 - d, so a customer of three at two tables sits alone with 1/3."""
     a = language_model.alone(0.3)
