@@ -12,11 +12,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.llm import decontamination, jaccard, packing, pii, toxicity
-from siltstone.llm.columns import table
+from siltstone.llm.columns import bound_batches, table
 from siltstone.llm.queries import tokenizer_json
 from siltstone.plans.staging import recorded, release, stage
 
-
 #: What the last stage has staged; its result is written when the next one begins.
 _left: list[str] = []
 
@@ -27,6 +26,7 @@ def _step(function):
     @wraps(function)
     def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release(spark, _left)
+        bound_batches(spark)
         with recorded() as paths:
             out = function(spark, docs, sf_dir)
         _left.extend(paths)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What separates words of non-space characters, and words of letters and digits (ASCII ones, and all beyond ASCII).
@@ -39,5 +39,17 @@ def with_own_id(out: DataFrame, docs: DataFrame) -> DataFrame:
     return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
-def table(spark, sf_dir: str, name: str) -> DataFrame:
+#: Rows of an Arrow batch. Texts may be long, and a batch is held several times over, by the JVM and by Python.
+BATCH_ROWS = 500
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to BATCH_ROWS rows, if they are larger."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -48,7 +48,7 @@ PART = 4
 #: Groups of up to so many sets give all their pairs.
 SMALL = 8
 #: Shingles worked on at once, and bytes of text for each bucket of signatures.
-TOGETHER = 400_000
+TOGETHER = 250_000
 BUCKET_BYTES = 32_000_000
 
 
@@ -73,7 +73,7 @@ class Shingler:
         if not words:
             return np.zeros(0, np.uint64)
         known, hashes = self.known, []
-        if len(known) > 200_000:
+        if len(known) > 100_000:
             known.clear()
         for w in words:
             h = known.get(w)
