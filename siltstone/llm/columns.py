@@ -7,6 +7,8 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.staging import stage
+
 #: What separates words of non-space characters, and words of letters and digits (ASCII ones, and all beyond ASCII).
 SPACES = r"[\x20\x09-\x0D]+"
 MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -39,6 +41,15 @@ def with_own_id(out: DataFrame, docs: DataFrame) -> DataFrame:
     return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
+#: The number of a row, where null or repeated ids don't tell rows apart.
+ROW = "_siltstone_row"
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """docs staged with ROW, which so is the same whenever it is read."""
+    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 #: Rows of an Arrow batch. Texts may be long, and a batch is held several times over, by the JVM and by Python.
 BATCH_ROWS = 500
 

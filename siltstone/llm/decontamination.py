@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .columns import MARKS, lower_ascii, words
+from .columns import MARKS, ROW, lower_ascii, with_row, words
 
 WINDOW = 10
 #: Windows in a block: 20,000 windows of 10 words are some 3 MB.
@@ -106,10 +106,14 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, bloc
 
     uid tells repeated rows apart.
     """
-    docs = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
+    return _matches(docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text"), benchmark, size, block)
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = BLOCK, staged: bool = False) -> DataFrame:
+    """find_matches of (uid, doc_id, text), which may be staged already."""
     wins = stage(benchmark_windows(benchmark, size), "benchmark")
     blocks = max(1, -(-wins.count() // block))
-    if blocks > 1:  # each block passes over the same uids
+    if blocks > 1 and not staged:  # each block passes over the same uids
         docs = stage(docs, "texts")
     done = [_block(docs, wins.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b), size) for b in range(blocks)]
     rows = done[0][1]
@@ -132,9 +136,11 @@ def _n_hit(hits: Column) -> Column:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without documents that hold a benchmark window; the rows of one doc_id stay or go together."""
-    bad = find_matches(docs, benchmark).where(F.size("hits") > 0).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """docs without the rows that hold a benchmark window, whatever other rows have their ids."""
+    docs = with_row(docs)
+    found = _matches(docs.select(F.col(ROW).alias("uid"), "doc_id", "text"), benchmark, staged=True)
+    bad = found.where(F.size("hits") > 0).select("uid")
+    return docs.join(bad, docs[ROW] == bad["uid"], "left_anti").drop(ROW)
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .columns import id_and_text, with_own_id
+from .columns import ROW, id_and_text, with_own_id, with_row
 from ..operators.components import components
 
 SHINGLE = 5
@@ -395,9 +395,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """docs with one document of each component, that of the least id; rows of one doc_id stay or go together."""
-    gone = near_duplicates(docs).where(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(stage(gone, "gone"), docs["doc_id"].eqNullSafe(F.col("gone_id")), "left_anti")
+    """docs with one row of each component: that of the least id (a null one is the last), whatever other rows have this id."""
+    docs = with_row(docs)
+    near = near_duplicates(docs.select(F.col(ROW).alias("doc_id"), "text")).where("component_id <> doc_id")
+    near = stage(near.select(F.col("doc_id").alias("row"), F.col("component_id").alias("least")), "linked")
+    near = near.unionByName(near.select(F.col("least").alias("row"), "least").distinct())
+    ids = docs.select(F.col(ROW).alias("row"), "doc_id")
+    first = near.join(ids, "row").groupBy("least").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row"))
+    gone = stage(near.select("row").join(first, "row", "left_anti"), "gone")
+    return docs.join(gone, docs[ROW] == gone["row"], "left_anti").drop(ROW)
 
 
 def query(docs: DataFrame) -> DataFrame:

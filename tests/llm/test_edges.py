@@ -97,3 +97,18 @@ def test_stages_on_empty_tables(docs, labels, benchmark):
     none = docs.limit(0)
     for out in (toxicity.reject(none, labels), jaccard.deduplicate(none), decontamination.decontaminate(none, benchmark), pii.redact(none)):
         assert out.count() == 0
+
+
+def test_stages_decide_by_row(spark, benchmark):
+    """Null and repeated ids: a row's fault is no fault of others with its id, and copies under one id are one document."""
+    r = [" ".join(f"{k}{i}" for i in range(30)) for k in "abcdef"]
+    rows = [(None, r[0]), (None, r[1]), (1, r[0]), (2, r[2]), (2, r[3]), (3, r[3]), (4, r[4]), (4, r[4]), (None, r[5]), (None, r[5]), (None, None), (None, ""), (5, None), (5, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'own' AS uid")
+    got = jaccard.deduplicate(d)
+    assert got.columns == d.columns
+    want = [(None, r[1]), (1, r[0]), (2, r[2]), (2, r[3]), (4, r[4]), (None, r[5]), (None, None), (None, ""), (5, None), (5, None)]
+    assert sorted(((x[0], x[1]) for x in got.collect()), key=repr) == sorted(want, key=repr)
+    hit = "here the same text twice over for the test"
+    rows = [(None, hit), (None, r[0]), (None, None), (7, hit), (7, r[1]), (8, r[2])]
+    got = decontamination.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), benchmark)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([x for x in rows if x[1] != hit], key=repr)
