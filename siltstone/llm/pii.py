@@ -2,11 +2,12 @@
 
 The patterns (email, ip, card, phone) give the base spans, which always stay. The random field labels the tokens that
 hold a digit or an @ with O, one of the four kinds or "secret" (keys, passwords, access tokens). Neighbouring tokens are
-linked in a chain; a token is also linked by a skip edge to the last one before it that is equal (ignoring case) or
-similar (same domain of an address, same first eight characters), however far away. So each class of repeated tokens is a
-chain of skip edges, whose number grows with the tokens and not with their pairs. Loopy sum-product message passing
-gives each token's label probabilities, which so agree across the document; a token at CERTAIN or more that no base span
-touches becomes a span of its own.
+linked in a chain; all equal ones (ignoring case) are linked by skip edges to one hub, so that any two are two steps apart,
+and a token new to the text to the last similar one before it (same domain of an address, same first eight characters). So the
+number of edges grows with the tokens and not with their pairs. A hub is a node that has the features of its first
+occurrence with a cue, if any; half of what it hears is this one's message and half the mean of all others', as many without a
+cue are no more evidence than one. Loopy sum-product message passing, until a document's messages stop changing, gives each token's label
+probabilities, which so agree across the document; a token at CERTAIN or more that no base span touches becomes a span of its own.
 
 Weights are learned by pseudo-likelihood from those of SAMPLE documents (expected: a share of all by a hash of their
 texts) that have 1 to SAMPLE_TOKENS such tokens; base spans, long mixed tokens after a cue such as `token =`, and tokens equal to one of these in the document, are their labels.
@@ -33,7 +34,8 @@ LABELS = ("O", *KINDS)
 SAMPLE, SAMPLE_TOKENS = 20_000, 64
 CERTAIN = 0.9
 WIDTH = 1 << 12  # hashed features
-ROUNDS = 8  # of message passing
+#: Messages that change by less have stopped; after each PATIENCE rounds they are damped more, so that cycles stop too.
+STILL, PATIENCE = 1e-4, 100
 
 LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -115,10 +117,10 @@ def tokens(text: str) -> list[tuple[int, int]]:
 
 
 def graph(text: str, base: list[tuple[int, int, int]]):
-    """Tokens, their feature ids, weak labels, chain edges, skip edges to equal and to similar tokens."""
+    """Tokens, their feature ids, weak labels (both with those of hubs after them), chain edges, edges from hubs to equal tokens, edges to similar tokens."""
     spans = tokens(text)
     feats, labels, chain, equal, similar = [], [], [], [], []
-    last: dict = {}
+    places: dict = {}
     near: dict = {}
     known: dict = {}
     keys: list = []
@@ -128,10 +130,10 @@ def graph(text: str, base: list[tuple[int, int, int]]):
         digits = sum(c.isdigit() for c in core)
         mixed = digits > 0 and any(c.isalpha() for c in core) and core.isalnum()
         octets = core.split(".")
-        cue = bool(CUE.search(text[max(0, s - 24) : s]))
+        cue, plus = bool(CUE.search(text[max(0, s - 24) : s])), text[max(0, s - 1) : s] == "+"
         names = [
             "bias", f"shape={_shape(core)}", f"len={min(len(core).bit_length(), 8)}", f"digits={min(digits, 20)}", f"at={'@' in core}", f"dots={min(core.count('.'), 5)}",
-            f"cue={cue}", f"mixed={mixed}", f"cue,mixed={cue},{mixed and len(core) >= 16}", f"plus={text[max(0, s - 1) : s] == '+'}",
+            f"cue={cue}", f"mixed={mixed}", f"cue,mixed={cue},{mixed and len(core) >= 16}", f"plus={plus}",
             f"luhn={core.isdigit() and 14 <= digits <= 19 and luhn(core)}", f"octets={len(octets) == 4 and all(p.isdigit() and len(p) < 4 and int(p) < 256 for p in octets)}",
         ]
         feats.append([zlib.crc32(n.encode()) % WIDTH for n in names])
@@ -143,30 +145,38 @@ def graph(text: str, base: list[tuple[int, int, int]]):
             chain.append((i - 1, i))
         key = core.lower()
         like = key.split("@")[1] if "@" in key else key[:8] if len(key) >= 12 else None
-        if key in last:
-            equal.append((last[key], i))
-        elif like is not None and like in near:
+        if key not in places and like is not None and like in near:
             similar.append((near[like], i))
         if labels[i]:
             known[key] = labels[i]
-        last[key] = i
         keys.append(key)
+        places.setdefault(key, []).append((not cue, not plus, i))
         if like is not None:
             near[like] = i
     labels = [k or known.get(key, 0) for k, key in zip(labels, keys, strict=True)]  # equal tokens have one weak label
+    for key, at in places.items():
+        if len(at) > 1:
+            equal += [(len(feats), i) for _, _, i in sorted(at)]  # the one with a cue first
+            feats.append(feats[min(at)[2]])
+            labels.append(known.get(key, 0))
     return spans, feats, labels, chain, equal, similar
 
 
 def _stack(graphs):
-    """Many documents as one graph: features, labels, edges by type."""
+    """Many documents as one graph: features, labels, edges by type, and what a message to the first end of an edge weighs."""
     offset, feats, labels, edges = 0, [], [], ([], [], [])
     for g in graphs:
         feats += g[1]
         labels += g[2]
         for to, own in zip(edges, g[3:], strict=True):
             to += [(a + offset, b + offset) for a, b in own]
-        offset += len(g[0])
-    return np.array(feats, np.int64).reshape(offset, len(feats[0]) if feats else 0), np.array(labels, np.int64), [np.array(e, np.int64).reshape(-1, 2) for e in edges]
+        offset += len(g[1])
+    edges = [np.array(e, np.int64).reshape(-1, 2) for e in edges]
+    shares = [np.ones(len(e)) for e in edges]
+    hub = edges[1][:, 0]
+    shares[1] /= 2 * np.maximum(1, np.bincount(hub, minlength=offset)[hub] - 1)
+    shares[1][np.diff(hub, prepend=-1) != 0] = 0.5
+    return np.array(feats, np.int64).reshape(offset, len(feats[0]) if feats else 0), np.array(labels, np.int64), edges, shares
 
 
 def _softmax(x):
@@ -178,23 +188,23 @@ def train(graphs, steps: int = 200, rate: float = 0.5, decay: float = 1e-3):
     """(token weights, pair weights of the three edge types) by pseudo-likelihood, with Adagrad."""
     k = len(LABELS)
     node, pair = np.zeros((WIDTH, k)), np.zeros((3, k, k))
-    feats, labels, edges = _stack(graphs)
+    feats, labels, edges, shares = _stack(graphs)
     if not len(labels):
         return node, pair
     sum_node, sum_pair = np.full_like(node, 1e-8), np.full_like(pair, 1e-8)
     truth = np.eye(k)[labels]
     for _ in range(steps):
         score = node[feats].sum(1)
-        for t, e in enumerate(edges):
+        for t, (e, w) in enumerate(zip(edges, shares, strict=True)):
             np.add.at(score, e[:, 1], pair[t][labels[e[:, 0]]])
-            np.add.at(score, e[:, 0], pair[t][:, labels[e[:, 1]]].T)
+            np.add.at(score, e[:, 0], w[:, None] * pair[t][:, labels[e[:, 1]]].T)
         gap = (truth - _softmax(score)) / len(labels)
         g_node, g_pair = -decay / len(labels) * node, -decay / len(labels) * pair
         for j in range(feats.shape[1]):
             np.add.at(g_node, feats[:, j], gap)
-        for t, e in enumerate(edges):
+        for t, (e, w) in enumerate(zip(edges, shares, strict=True)):
             np.add.at(g_pair[t], labels[e[:, 0]], gap[e[:, 1]])
-            np.add.at(g_pair[t].T, labels[e[:, 1]], gap[e[:, 0]])
+            np.add.at(g_pair[t].T, labels[e[:, 1]], w[:, None] * gap[e[:, 0]])
         for w, g, s in ((node, g_node, sum_node), (pair, g_pair, sum_pair)):
             s += g * g
             w += rate * g / np.sqrt(s)
@@ -202,28 +212,42 @@ def train(graphs, steps: int = 200, rate: float = 0.5, decay: float = 1e-3):
 
 
 def marginals(graphs, weights) -> np.ndarray:
-    """Label probabilities of all tokens after ROUNDS of loopy sum-product message passing."""
+    """Label probabilities of all tokens by loopy sum-product message passing; a document's goes on until its messages have stopped."""
     node, pair = weights
-    feats, _, edges = _stack(graphs)
+    feats, _, edges, shares = _stack(graphs)
     local = node[feats].sum(1) if len(feats) else np.zeros((0, len(LABELS)))
+    is_token = np.concatenate([np.zeros(0, bool), *[np.arange(len(g[1])) < len(g[0]) for g in graphs]])
     ends = np.concatenate([*edges, *[e[:, ::-1] for e in edges]])
     if not len(ends):
-        return _softmax(local)
+        return _softmax(local[is_token])
     table = np.concatenate([np.broadcast_to(p, (len(e), *p.shape)) for e, p in zip(edges, pair, strict=True)])
     table = np.concatenate([table, table.transpose(0, 2, 1)])  # [edge, label of sender, label of receiver]
-    half = len(ends) // 2
-    back = np.concatenate([np.arange(half, 2 * half), np.arange(half)])
-    message = np.zeros((2 * half, len(LABELS)))
-    for _ in range(ROUNDS):
-        belief = local.copy()
-        np.add.at(belief, ends[:, 1], message)
-        out = (belief[ends[:, 0]] - message[back])[:, :, None] + table
-        top = out.max(1)
-        new = top + np.log(np.exp(out - top[:, None]).sum(1))
-        message = 0.5 * message + 0.5 * (new - new.max(1, keepdims=True))
+    weight = np.concatenate([np.ones(len(ends) // 2), *shares])[:, None]
+    of = np.repeat(np.arange(len(graphs)), [len(g[1]) for g in graphs])[ends[:, 0]]
+    message, live = np.zeros((len(ends), len(LABELS))), np.arange(len(ends))
+    rounds = 0
+    while len(live):
+        to, back = ends[live], np.concatenate([np.arange(len(live) // 2, len(live)), np.arange(len(live) // 2)])
+        heard, held, own, doc = weight[live], table[live], message[live], of[live]
+        while True:
+            belief = local.copy()
+            np.add.at(belief, to[:, 1], heard * own)
+            out = (belief[to[:, 0]] - (heard * own)[back])[:, :, None] + held
+            top = out.max(1)
+            new = top + np.log(np.exp(out - top[:, None]).sum(1))
+            step = 0.5 ** (1 + rounds // PATIENCE) * (new - new.max(1, keepdims=True) - own)
+            own = own + step
+            rounds += 1
+            moved = np.zeros(len(graphs))
+            np.maximum.at(moved, doc, np.abs(step).max(1))
+            still = moved[doc] < STILL
+            if still.sum() * 4 >= len(live):
+                break
+        message[live] = own
+        live = live[~still]
     belief = local.copy()
-    np.add.at(belief, ends[:, 1], message)
-    return _softmax(belief)
+    np.add.at(belief, ends[:, 1], weight * message)
+    return _softmax(belief[is_token])
 
 
 def fit(docs: DataFrame):

@@ -356,6 +356,23 @@ def test_skip_edges_carry_labels():
     assert [x[1] for x in pii.find([t, f"{far} {k}"], weights)[0]] == [4, 4] and not pii.find([f"{far} {k}"], weights)[0]
 
 
+def test_repeated_tokens_hear_of_a_distant_cue():
+    """All of 50 repeats, wherever the cue stands; as many repeats without a cue are left alone; documents don't change each other."""
+    r = random.Random(5)
+    key = lambda: "".join(r.choices("0123456789abcdef", k=40))
+    train = []
+    for _ in range(200):
+        k, other = key(), key()
+        train.append(f'some words token = "{k}" and then many other words in between them {k} 12 of 7 and 3. {r.randint(0, 99)}')
+        train.append(f"a checksum {other} and many words, among them once more {other} of 5")
+    weights = pii.train([pii.graph(t, pii.base_spans(t)) for t in train])
+    k, far = key(), "plain words " * 20
+    texts = [f'token = "{k}" ' + f"{far} {k} " * 50, f"{far} {k} " * 25 + f'token = "{k}" ' + f"{far} {k} " * 25, f"{far} {k} " * 50, "", "1 2 3 " * 300]
+    found = pii.find(texts, weights)
+    assert [sum(x[1] == 4 for x in f) for f in found] == [51, 51, 0, 0, 0]
+    assert found == [pii.find([t], weights)[0] for t in texts]
+
+
 # op10
 
 
