@@ -6,10 +6,10 @@ one parent, the unigram restaurant, whose base is uniform over the V training wo
 with customers c and tables t; each table of w in a context restaurant is a customer of w in the parent. The number of context
 restaurants is a parameter, so their totals have a fixed size; dishes and (context, word) entries grow with the corpus.
 
-A Gibbs move takes a customer of an entry away and seats it again. With table sizes summed out, the customer leaves a
-table empty with probability S(c-1, t-1) / S(c, t) (generalised Stirling numbers of discount d; d t / c where c > STIRLING, their limit),
-and opens one with probability a / (a + c - 1 - d t), a = (theta + d T_m) p(w). A sweep makes MOVES moves in each entry
-of the contexts, then in the parent. After BURN_IN sweeps, the predictive probabilities of SAMPLES sweeps are averaged.
+A Gibbs move takes a customer of an entry away and seats it again, with weight a = (theta + d T_m) p(w) at a new table and c - 1 - d t
+at the others. With table sizes summed out, many such moves draw t from S(c, t) a^t (generalised Stirling numbers of discount d). A
+sweep draws the tables of all customers of an entry at once from this law, so it takes no longer for larger counts: exactly for up to
+STIRLING customers, by its first two moments beyond. It does so in each entry of the contexts, then in the parent. After BURN_IN sweeps, the predictive probabilities of SAMPLES sweeps are averaged.
 
 On the cluster: a pass over the texts packs tokens by word into buckets (the words of a bucket meet all their contexts,
 documents and parent entries there). One job counts, seats at first and sums up the restaurants' totals, CLASSES + 1 rows;
@@ -44,7 +44,7 @@ from .columns import id_and_text, with_own_id
 CLASSES = 4096
 THETA, ROOT_THETA = 1.0, 1.0
 STIRLING = 200
-MOVES, BURN_IN, SAMPLES = 6, 3, 4
+BURN_IN, SAMPLES = 3, 4
 SEED = 20
 HOT, SAMPLE = 200, 2000
 #: Characters packed at once, and bytes of text for each bucket of words.
@@ -180,41 +180,78 @@ def discount_of(ones: int, twos: int) -> float:
     return float(np.clip(ones / max(1, ones + 2 * twos), 0.05, 0.95))
 
 
-def alone(d: float) -> np.ndarray:
-    """S(c-1, t-1) / S(c, t) for c, t up to STIRLING: the probability that a customer sits alone."""
+def log_stirling(d: float) -> np.ndarray:
+    """log S(c, t) for c, t up to STIRLING."""
     log = np.full((STIRLING + 1, STIRLING + 1), -np.inf)
     log[0, 0] = 0
-    out = np.ones((STIRLING + 1, STIRLING + 1))
     t = np.arange(1, STIRLING + 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
+    with np.errstate(divide="ignore"):
+        for c in range(1, STIRLING + 1):
+            log[c, 1:] = np.logaddexp(log[c - 1, :-1], np.log(np.maximum(c - 1 - d * t, 0)) + log[c - 1, 1:])
+    return log
+
+
+def alone(d: float) -> np.ndarray:
+    """S(c-1, t-1) / S(c, t) for c, t up to STIRLING: the probability that a customer sits alone."""
+    log, t = log_stirling(d), np.arange(1, STIRLING + 1)
+    out = np.ones((STIRLING + 1, STIRLING + 1))
+    with np.errstate(invalid="ignore"):
         for c in range(1, STIRLING + 1):
-            stay = np.log(np.maximum(c - 1 - d * t, 0)) + log[c - 1, 1:]
-            log[c, 1:] = np.logaddexp(log[c - 1, :-1], stay)
             out[c, 1:] = np.where(t <= c, np.exp(log[c - 1, :-1] - log[c, 1:]), 1)
     return np.nan_to_num(out, nan=1.0)
 
 
+def draw_few(c: int, a: np.ndarray, log: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Tables of entries of c customers each, exactly by S(c, t) a^t."""
+    t = np.arange(1, c + 1)
+    p = log[c, 1 : c + 1] + np.log(a)[:, None] * t
+    p = np.cumsum(np.exp(p - p.max(1, keepdims=True)), 1)
+    return 1 + (p[:, :-1] <= (rng.random(len(a)) * p[:, -1])[:, None]).sum(1)
+
+
+def draw_many(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of entries of many customers, by the mean and variance that S(c, t) a^t has in the limit.
+
+    The sum of S(c, t) a^t x^c / c! over c and t is exp(a (1 - (1-x)^d) / d), so t is the number of a Poisson process of tables whose sizes
+    add up to c. Where a x (1-x)^(d-1) = c, their expected number is m = a (1 - (1-x)^d) / d, and its variance given the sum is
+    m - c (1-x) / (1 - d x). A binomial has both; for few tables it becomes 1 + Poisson(a / d), the limit for large c.
+    """
+    low, high = np.full(len(c), -700.0), np.zeros(len(c))  # of log(1-x)
+    for _ in range(50):
+        y = (low + high) / 2
+        with np.errstate(divide="ignore"):
+            less = np.log(a) + np.log(-np.expm1(y)) + (d - 1) * y < np.log(c)
+        low, high = np.where(less, low, y), np.where(less, y, high)
+    rest = np.exp(y)
+    m = -a * np.expm1(d * y) / d
+    q = np.clip(c * rest / (1 - d + d * rest) / np.maximum(m, 1e-300), 1e-9, 1 - 1e-9)  # 1 - variance / mean
+    n = np.maximum(np.round(m / q), 1)
+    return 1 + rng.binomial(n.astype(np.int64), np.minimum(m / n, 1))
+
+
 class Level:
     """Tables of entries with c customers each; those of one customer always have one table."""
 
     def __init__(self, c: np.ndarray, d: float, rng: np.random.Generator, mass: np.ndarray) -> None:
         self.d, self.rng = d, rng
-        self.single = alone(d)
+        self.log = log_stirling(d)
         self.reset(c, np.where(c > 0, np.maximum(1, np.round(1 + mass * np.log((mass + c) / (mass + 1)))), 0))
 
     def reset(self, c: np.ndarray, t: np.ndarray) -> None:
         self.c, self.t = c, np.clip(t, c > 0, c).astype(np.int64)
 
     def sweep(self, mass: np.ndarray) -> None:
-        moving = np.flatnonzero(self.c > 1)
-        c, t, a = self.c[moving], self.t[moving], mass[moving]
-        near = np.minimum(c, STIRLING)
-        for _ in range(MOVES):
-            gone = np.where(c <= STIRLING, self.single[near, np.minimum(t, STIRLING)], self.d * t / c)
-            t = t - (self.rng.random(len(t)) < gone)
-            p = np.where(t > 0, a / (a + c - 1 - self.d * t), 1)
-            t = t + (self.rng.random(len(t)) < p)
-        self.t[moving] = np.clip(t, 1, c)
+        """Tables of all entries anew, given the mass of a new one."""
+        order = np.argsort(self.c, kind="stable")
+        counts = self.c[order]
+        for c in np.unique(counts[(counts > 1) & (counts <= STIRLING)]).tolist():
+            of = order[np.searchsorted(counts, c) : np.searchsorted(counts, c, "right")]
+            step = max(1, 1_000_000 // c)
+            for part in (of[i : i + step] for i in range(0, len(of), step)):
+                self.t[part] = draw_few(c, mass[part], self.log, self.rng)
+        large = order[np.searchsorted(counts, STIRLING, "right") :]
+        if len(large):
+            self.t[large] = np.minimum(draw_many(self.c[large], mass[large], self.d, self.rng), self.c[large])
 
 
 class Seating:

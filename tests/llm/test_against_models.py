@@ -85,6 +85,28 @@ def test_stirling_shares():
     assert math.isclose(a[3, 2], 1 / 3) and math.isclose(a[2, 2], 1) and math.isclose(a[2, 1], 0, abs_tol=1e-12)
 
 
+@pytest.mark.parametrize("c", [5, 200, 1000])
+def test_a_sweep_seats_all_customers(c):
+    """One sweep, from any seating, gives the mean and spread of S(c, t) a^t."""
+    for d in (0.3, 0.8):
+        log = np.full(c + 1, -np.inf)
+        log[0] = 0
+        with np.errstate(divide="ignore"):
+            for k in range(1, c + 1):
+                log[1:] = np.logaddexp(log[:-1], np.log(np.maximum(k - 1 - d * np.arange(1, c + 1), 0)) + log[1:])
+                log[0] = -np.inf
+        for a in (0.01, 1.0, 20.0, 300.0):
+            p = log[1:] + math.log(a) * np.arange(1, c + 1)
+            p = np.exp(p - p.max())
+            p /= p.sum()
+            mean = p @ np.arange(1, c + 1)
+            spread = math.sqrt(p @ (np.arange(1, c + 1) - mean) ** 2)
+            level = language_model.Level(np.full(20_000, c), d, np.random.default_rng(1), np.full(20_000, a))
+            level.t[:] = c
+            level.sweep(np.full(20_000, a))
+            assert abs(level.t.mean() - mean) < 0.05 * mean + 0.05 and abs(level.t.std() - spread) < 0.15 * spread + 0.1, (c, d, a, mean, spread)
+
+
 # op2
 
 
