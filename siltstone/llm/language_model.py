@@ -16,7 +16,7 @@ documents and parent entries there). One job counts, seats at first and sums up
 a second one samples given these totals (as in approximate distributed Gibbs sampling), and sums log10 probabilities by
 document. All training tokens count and all tokens of all texts are scored.
 
-Words that hold 1 / HOT or more of the tokens of SAMPLE documents (at most HOT words, and the end token) would overfill a bucket. Their
+Words that hold 1 / HOT or more of all tokens (at most HOT words, and the end token) would overfill a bucket. A pass counts all words. Their
 tokens are dealt out by word and context; what their parent entries need, two sums for each such word, goes through the driver, and
 their parent probabilities stay as they are after the first seating.
 
@@ -46,7 +46,9 @@ THETA, ROOT_THETA = 1.0, 1.0
 STIRLING = 200
 BURN_IN, SAMPLES = 3, 4
 SEED = 20
-HOT, SAMPLE = 200, 2000
+HOT = 200
+#: Distinct words that a task counts before it hands its counts on.
+COUNTED = 200_000
 #: Characters packed at once, and bytes of text for each bucket of words.
 TOGETHER = 3_000_000
 BUCKET_BYTES = 16_000_000
@@ -63,20 +65,25 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 def hot_words(docs: DataFrame) -> dict[bytes, float]:
-    """Frequent words and their share of the tokens of a sample of documents (chosen by a hash of their texts)."""
+    """Frequent words and their share of all tokens, and the end's."""
 
     def run(batches):
+        counts: Counter = Counter()
+        total = 0
         for b in batches:
-            counts = Counter(w for t in b["text"] for w in tokens_of(t))
-            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
-
-    share = min(1.0, SAMPLE / max(1, docs.count()))
-    picked = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000 < share
-    counts = docs.select("text").where(picked).mapInPandas(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = stage(counts, "words")
-    total = counts.agg(F.sum("n")).first()[0] or 1
-    rows = counts.where((F.col("n") >= total / HOT) | (F.length("word") == 0)).collect()  # at most HOT + 1
-    return {bytes(r["word"]): r["n"] / total for r in rows} or {END: 1.0}
+            for t in b["text"]:
+                counts.update(tokens_of(t))
+            if len(counts) >= COUNTED:
+                total += counts.total()
+                yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+                counts = Counter()
+        yield pd.DataFrame({"word": [*counts, None], "n": [*counts.values(), total + counts.total()]})
+
+    counts = docs.select("text").mapInPandas(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # The total, the end and at most HOT words can be wanted.
+    rows = counts.orderBy(F.col("word").isNull().desc(), (F.length("word") == 0).desc(), F.col("n").desc()).limit(HOT + 2).collect()
+    total = sum(r["n"] for r in rows if r["word"] is None)
+    return {bytes(r["word"]): r["n"] / total for r in rows if r["word"] is not None and (r["n"] >= total / HOT or not r["word"])} or {END: 1.0}
 
 
 def pack_tokens(docs: DataFrame, buckets: int, hot: dict[bytes, float]) -> DataFrame:

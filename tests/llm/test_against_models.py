@@ -79,6 +79,19 @@ def test_frequent_words_are_dealt_out(spark):
         assert math.isclose(rows[x["doc_id"]]["base_score"], base, rel_tol=1e-9)
 
 
+def test_frequent_words_are_those_of_all_texts(spark):
+    """Also where a third of the rows is one text, and far more rows than any sample would hold."""
+    r = random.Random(7)
+    texts = ["Spam spam buy"] * 2000 + [" ".join(r.choices(["the", *(f"w{k}" for k in range(3000))], [200, *[1] * 3000], k=12)) for _ in range(3999)] + [None]
+    r.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = Counter(w for t in texts for w in language_model.tokens_of(t))
+    total = counts.total()
+    want = {w: n / total for w, n in counts.items() if n >= total / language_model.HOT}
+    assert set(want) == {b"spam", b"buy", b"the", b""} and language_model.hot_words(docs) == want
+    assert language_model.hot_words(docs.limit(0)) == {b"": 1.0}
+
+
 def test_stirling_shares():
     """S(3, 2) with discount d is 3 (1 - d) and S(2, 1) = 1 - d, so a customer of three at two tables sits alone with 1/3."""
     a = language_model.alone(0.3)
