@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -75,8 +75,8 @@ def model_extract(generator, system: str = "", retries: int = K.VALIDATION_RETRI
 
 
 def arranged(entities: DataFrame) -> DataFrame:
-    """entities with ord: the order of documents, chunks and names; without relationships yet."""
-    e = entities.withColumn("ord", F.struct("doc_id", "chunk_index", "name", "entity_type"))
+    """entities with ord: the order of documents, chunks, names and, as these may repeat, rows; without relationships yet. To be staged."""
+    e = entities.withColumn("ord", F.struct("doc_id", "chunk_index", "name", "entity_type", F.monotonically_increasing_id().alias("row")))
     return e.withColumn("relationships", F.array().cast(EDGES))
 
 
@@ -94,18 +94,21 @@ def stamped(entities: DataFrame) -> DataFrame:
 
 
 def refined(entities: DataFrame, refine=None) -> DataFrame:
-    """entities after clusters: singletons pass, larger ones go through refine, or keep their first member as canonical."""
+    """entities after clusters: singletons pass, larger ones go through refine, or keep their first member as canonical.
+
+    Clusters are of rows, by ord, as ids may repeat; cluster_id is the ord of the first.
+    """
     e = entities.withColumn("_text", F.concat_ws(" ", "name", "description"))
-    label = stage(clusters(e, "entity_id", F.col("_text")), "clusters")
-    e = e.drop("_text").join(label.dropDuplicates(["entity_id"]), "entity_id")
-    e = e.withColumn("_many", F.count("*").over(Window.partitionBy("cluster_id")) > 1)
+    label = stage(clusters(e, "ord", F.col("_text")), "clusters")
+    heads = label.where("cluster_id <> ord").select(F.col("cluster_id").alias("ord"), F.lit(True).alias("_heads")).distinct()
+    e = e.drop("_text").join(label, "ord").join(heads, "ord", "left")
+    e = e.withColumn("_many", F.coalesce("_heads", F.col("cluster_id") != F.col("ord"))).drop("_heads")
     single = e.where(~F.col("_many"))
     many = e.where("_many")
     if refine:
         many = refine(many)
     else:
-        first = F.row_number().over(Window.partitionBy("cluster_id").orderBy("ord")) == 1
-        many = many.withColumn("_first", first).withColumn("status", F.when(F.col("_first"), "canonical").otherwise("duplicate")).drop("_first")
+        many = many.withColumn("status", F.when(F.col("cluster_id") == F.col("ord"), "canonical").otherwise("duplicate"))
     out = single.withColumn("status", F.when(F.coalesce("status", F.lit("")) == "", "canonical").otherwise(F.col("status")))
     return out.unionByName(many).drop("_many")
 
@@ -123,7 +126,7 @@ def run(spark: SparkSession, docs: DataFrame, base=None, now: str = "", settings
         batched = raw.join(size_batches(sized, "doc_id", "ord", "size"), ["doc_id", "ord"])
         normal = normalise(batched)
     normal = corrected(normal, False).withColumn("confidence_scores", clamp_confidence(F.col("confidence_scores")))
-    normal = stage(enrich(normal.dropDuplicates(["entity_id"])), "normalised")
+    normal = stage(enrich(normal), "normalised")
     result.normalised = normal.count()
     done = stage(refined(normal, refine), "refined")
     result.refined = done.where("status = 'canonical'").count()

@@ -30,6 +30,7 @@ from .operators.generation import best_attempt
 from .operators.merging import list_union, registry_key
 from .operators.similarity import best_candidates, clusters, domain_candidates, edge_type, enrich, jaccard_pairs
 from .plans import knowledge, spec
+from .plans.staging import stage
 from .sources.html import html_text, html_text_faithful
 from .sources.store import numbered, upsert
 
@@ -192,7 +193,7 @@ def _rule_pipeline(spark, sf_dir) -> DataFrame:
 def _knowledge(spark, sf_dir) -> DataFrame:
     """Documents of a fixed model, through clustering and refining."""
     e = knowledge.arranged(knowledge.rule_extract(knowledge.usable_chunks(table(spark, sf_dir, "documents"), ChunkSettings()).where("fault IS NULL")))
-    done = knowledge.refined(knowledge.stamped(e).dropDuplicates(["entity_id"]))
+    done = knowledge.refined(stage(knowledge.stamped(e), "extracted"))
     return done.groupBy("status").agg(F.count("*").alias("n"), F.countDistinct("cluster_id").alias("n_clusters"))
 
 

@@ -84,6 +84,19 @@ def test_plan_to_store(spark, base):
     assert done.where("status = 'canonical'").count() == result.refined
 
 
+def test_plan_keeps_entities_of_one_id(spark, base):
+    """Equal types and first 60 characters give one id: other texts under it are folded into the first, copies are duplicates."""
+    head = "The scheme of the reader that all of these documents tell about is "
+    first, second = (head + " ".join(f"{k}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)) for k in "pq")
+    docs = spark.createDataFrame([(1, first, "en", "s"), (2, second, "en", "t"), (3, first, "en", "u"), (3, first, "en", "u")], "doc_id long, text string, lang string, source string")
+    done, result = knowledge.run(spark, docs, base, NOW)
+    rows = done.orderBy("ord").collect()
+    assert result.extracted == result.normalised == 4 and len({r["entity_id"] for r in rows}) == 1
+    assert [r["status"] for r in rows] == ["canonical", "canonical", "duplicate", "duplicate"] and len({r["cluster_id"] for r in rows}) == 2
+    assert result.stats["saved"] == result.stats["merged"] == 1
+    assert sorted(base.entities().first()["domain"]) == ["en", "s", "t"]
+
+
 def test_plan_with_a_model(spark):
     from siltstone.operators.generation import RuleGenerator
 
