@@ -123,6 +123,11 @@ def _clusters(spark, sf_dir) -> DataFrame:
     return clusters(entities(spark, sf_dir), "doc_id", text)
 
 
+def _document_clusters(spark, sf_dir) -> DataFrame:
+    """Clusters of documents by their whole texts; q23_clusters is bound by its SQL to their first 400 characters."""
+    return clusters(table(spark, sf_dir, "documents"), "doc_id", F.coalesce("text", F.lit("")))
+
+
 def _responses(spark, sf_dir) -> DataFrame:
     """Answers as a model might give them: pure, fenced, in prose, broken."""
     e = table(spark, sf_dir, "events").select("event_id", "props")
@@ -241,6 +246,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q26_top2": lambda s, d: best_candidates(domain_candidates(e(s, d))[0], e(s, d)).select("eid", "cid", "rank"),
         "q27_enrich": lambda s, d: enrich(e(s, d)).select("doc_id", F.array_join(F.transform("relationships", lambda r: F.concat_ws(":", r["type"], r["target"])), ";").alias("edges"), F.col("confidence_scores")["relationships"].alias("confidence")),
         "q28_edge_type": lambda s, d: e(s, d).select("doc_id", edge_type(correct_type(F.col("entity_type")), _pick(("metric", "architecture", "implementation_ops", "product"), F.col("doc_id"))).alias("type")),
+        "q29_document_clusters": _document_clusters,
         "q30_size_batches": lambda s, d: size_batches(table(s, d, "documents"), "source", "doc_id", "n_chars"),
         "q31_fixed_batches": lambda s, d: fixed_batches(table(s, d, "documents").select("doc_id", "source"), F.col("source"), "doc_id"),
         "q32_message_content": lambda s, d: table(s, d, "events").select("event_id", message_content(F.concat(F.lit('{"choices":[{"message":{"content":"'), F.coalesce("event_type", F.lit("")), F.lit('"}}]}'))).alias("content")),

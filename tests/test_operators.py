@@ -179,3 +179,14 @@ def test_prompts_and_best_attempts(spark):
     rows = [("a", 1, False, 2), ("a", 2, False, 3), ("a", 3, False, 3), ("b", 1, False, 9), ("b", 2, True, 4), ("b", 3, True, 5)]
     got = G.best_attempt(spark.createDataFrame(rows, "g string, o int, full boolean, n int"), "g", F.col("o"), F.col("full"), F.col("n"), F.col("o")).collect()
     assert {r["g"]: r["answer"] for r in got} == {"a": 2, "b": 2}
+
+
+def test_document_clusters_take_whole_texts(spark, tmp_path):
+    """Documents alike only after 400 characters are one cluster; those alike only before are two."""
+    from siltstone.queries import queries
+
+    many = lambda k, n: " ".join(f"{k}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n))
+    texts = [many("a", 120) + many(" z", 600), many("b", 120) + many(" z", 600), many("c", 120) + many(" x", 600), many("c", 120) + many(" y", 600), None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["cluster_id"] for r in queries()["q29_document_clusters"](spark, str(tmp_path)).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4, 5: 5}
