@@ -1,30 +1,33 @@
 """N-gram Jaccard self-join by PartEnum signatures, and its connected components. Exact for a similarity of 0.8.
 
-A document's set is that of its distinct 5-word shingles, as 64-bit hashes. PartEnum splits the feature domain into parts
-and signs enumerated parts, so that sufficiently similar sets share a signature. Here the number of parts follows a
-set's size by halving, where the original takes it from a table by size band (at 0.8 that gives 1.4 signatures a
-shingle; this gives 0.56):
-
-- Let s = |A| + |B| and d = |A xor B|. A and B link if and only if 9 d <= s. Split the domain into halves by the next bit of the
-  hash: d and s add up over the halves, so a half with s > 0 and 9 d <= s exists. Repeat within it.
-- It ends at a part with s < 9, where d must be 0: both sets are equal there, not empty, and have at most 4 shingles.
-- The part above has 9 <= s and 9 d <= s, so each set has 4 shingles or more there.
-
-So a set's signatures are its contents in each part where it has 1 to 4 shingles but 4 or more in the part above (or none above):
-equal-size bands of 1 to 4 features, enumerated at the levels where linked sets can meet. Empty parts, which all sets would share,
-are never signed.
-
-Signatures are dealt out by hash, in packed arrays, each set of a batch once. Sets sharing a signature are candidates; nothing
-emits all pairs of a large group: groups of up to SMALL give their pairs, larger ones a star. Groups that still hold several components are then
-searched in place, in rounds: each gives forests of candidates that would join their components, until all candidates between
-different components have failed. Candidates are filtered by size (0.8) and by odd
-sketches (the parity of shingles by hash in a bit array: the bits that differ never outnumber d), both of which are safe, and then
-counted exactly on the whole sets. The components of all links are found in rounds; no link or component reaches the driver.
+A document's set is that of its distinct 5-word shingles, as 64-bit hashes. Sets A and B link if and only if 9 d <= s, for
+s = |A| + |B| and d = |A xor B|. PartEnum gives linked sets of one size band a common signature:
+
+1. Size bands. Band i holds sizes from 2**i to 2**(i+1) - 1; a set signs for its own band, and for the next one if it has 0.8 of that
+   band's least size or more. So linked sets, whose sizes are within 0.8 of each other, sign for the larger one's band both.
+2. First level. A band's feature domain is split into 2**(i+1) / PART_MEAN parts by the leading bits of the hash. d and s add up over the
+   parts, so linked sets have a part with s > 0 and 9 d <= s.
+3. Second level. In such a part, if s <= 8 then d = 0: up to 3 features are signed whole. If 9 <= s <= 17 then d <= 1 and each
+   set has 4 to 9 features there: the part is split in three, and each subset of two of them is signed (one difference spoils only
+   one of the three parts, and the other two are the same in both sets). If s >= 18, each set has 8 features or more: the part is halved and step 3 repeated.
+
+Empty subsets, which all sets would share, are never signed: where both sets have all features of a part in one third, it is split
+anew with another seed, which takes the same course for both.
+
+Links that are quick to find go first, so that later steps need no list of a group's near copies: each distinct set is compared with one
+hub for each of its LEAST least shingles. Then the signatures are dealt out by hash, in packed arrays that name each set's component so
+far. Groups of one component are dropped where they are met. Of the others, up to SMALL sets give all their pairs across components; larger ones give a
+star and are written once for each distinct list of members, as blocks of a bounded size. At last, all pairs of blocks of groups that still hold
+several components are searched, each as a row of its own, in two passes: one gives a forest of candidates for each, the next all that are left.
+
+Candidates are filtered by size (0.8) and by odd sketches (the parity of shingles by hash in a bit array: the bits that
+differ never outnumber d), both of which are safe, and then counted exactly on the whole sets. No link or component reaches the driver.
 
 Edge cases: null, empty and wordless texts have the empty set, link with nothing and are their own component; fewer than 5
 words make one shingle; rows repeated or with equal sets are linked (a set's copies are told apart only in membership); a
-null doc_id takes part, its component_id being the least id that is not null, if any; an empty table gives an empty result;
-columns other than doc_id and text are ignored.
+null doc_id takes part, its component_id being the least id that is not null, if any; very long texts are worked on whole, one at a
+time; a tie (exactly 0.8) is a link; of several rows with the least id of a component, deduplicate keeps the first; an empty table
+gives an empty result; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -38,15 +41,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .columns import ROW, id_and_text, with_own_id, with_row
+from .columns import ROW, with_own_id, with_row
 from ..operators.components import components
 
 SHINGLE = 5
-#: Sets link when 100 * intersection >= SIMILARITY * union. The proof above is for 80; 4 and 9 follow from it.
+#: Sets link when 100 * intersection >= SIMILARITY * union. The proof above is for 80; its bounds follow from it.
 SIMILARITY = 80
-PART = 4
+#: Features a part of the first level has at the top of a band, a power of two.
+PART_MEAN = 8
+#: Least shingles by which a set meets hubs.
+LEAST = 4
 #: Groups of up to so many sets give all their pairs.
 SMALL = 8
+#: Bounds of a block of a larger group: sets, and bytes of their sketches.
+BLOCK_SETS, BLOCK_BYTES = 1024, 1 << 18
 #: Shingles worked on at once, and bytes of text for each bucket of signatures.
 TOGETHER = 250_000
 BUCKET_BYTES = 32_000_000
@@ -93,11 +101,14 @@ def set_key(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64)))
 
 
+def sketch_bits(size: int) -> int:
+    """64, or the power of two that is not below four times the size."""
+    return max(64, 1 << (4 * size - 1).bit_length())
+
+
 def sketch(shingles: np.ndarray) -> bytes:
-    """Parities of the shingles by hash, in 64 bits or the power of two that is not below four times their number."""
-    bits = 64
-    while bits < 4 * len(shingles):
-        bits *= 2
+    """Parities of the shingles by hash."""
+    bits = sketch_bits(len(shingles))
     odd = np.bincount((mix(shingles) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -112,92 +123,149 @@ def differing_bits(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the set, signature), distinct, by set."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    value = np.concatenate([np.zeros(0, np.uint64), *sets])
-    content, above = mix(value + np.uint64(7)), np.full(len(value), PART, np.int64)
-    owners, out = [], []
-    for level in range(65):
-        if not len(value):
+def size_bands(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the set, band): the bands that sets of these sizes sign for."""
+    own = np.frexp(size.astype(np.float64))[1].astype(np.int64) - 1
+    above = np.flatnonzero((size > 0) & (5 * size >= np.int64(1) << (own + 3)))
+    here = np.flatnonzero(size > 0)
+    return np.concatenate([here, above]), np.concatenate([own[here], own[above] + 1])
+
+
+def subsets(content: np.ndarray, value: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the part, sum of contents, features) of the two-of-three subsets of parts that begin at start."""
+    part = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(value))))
+    of, sums, counts = [], [], []
+    for seed in range(64):
+        if not len(part):
             break
-        part = value >> np.uint64(64 - level) if level else np.zeros(len(value), np.uint64)
+        third = mix(value + np.uint64(0x9E3779B97F4A7C15 * (seed + 1) & 0xFFFFFFFFFFFFFFFF)) % np.uint64(3)
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        again = np.zeros(len(first), bool)
+        for left_out in range(3):
+            held = third != left_out
+            count = np.add.reduceat(held.astype(np.int64), first)
+            total = np.add.reduceat(np.where(held, content, np.uint64(0)), first)
+            some = count > 0
+            of.append(part[first][some])
+            sums.append(total[some])
+            counts.append(count[some])
+            again |= ~some
+        more = np.repeat(again, np.diff(np.append(first, len(part))))
+        part, value, content = part[more], value[more], content[more]
+    return np.concatenate([np.zeros(0, np.int64), *of]), np.concatenate([np.zeros(0, np.uint64), *sums]), np.concatenate([np.zeros(0, np.int64), *counts])
+
+
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the set, signature), distinct, by set. Sets are sorted."""
+    size = np.array([len(s) for s in sets], np.int64)
+    begin = np.cumsum(size) - size
+    values = np.concatenate([np.zeros(0, np.uint64), *sets])
+    owners, out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    of, bands = size_bands(size)
+    # Each set once for each of its bands.
+    many = size[of]
+    slot = np.repeat(np.arange(len(of)), many)
+    value = values[np.arange(many.sum()) + np.repeat(begin[of] - (np.cumsum(many) - many), many)]
+    content, depth = mix(value + np.uint64(7)), np.maximum(0, bands + 1 - (PART_MEAN.bit_length() - 1))[slot]
+
+    def sign(who: np.ndarray, total: np.ndarray, count: np.ndarray) -> None:
+        owners.append(of[who])
+        out.append(mix(total + count.astype(np.uint64) + bands[who].astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)))
+
+    while len(value):
+        part = np.where(depth > 0, value >> (64 - depth).clip(0, 63).astype(np.uint64), np.uint64(0))
         first = np.ones(len(value), bool)
-        first[1:] = (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])
+        first[1:] = (slot[1:] != slot[:-1]) | (part[1:] != part[:-1])
         start = np.flatnonzero(first)
-        size = np.diff(np.append(start, len(value)))
-        signed = (size <= PART) & (above[start] >= PART)
-        owners.append(owner[start][signed])
-        out.append(mix(np.add.reduceat(content, start) + size.astype(np.uint64))[signed])
-        above = np.repeat(size, size)
-        more = above >= PART
-        owner, value, content, above = owner[more], value[more], content[more], above[more]
-    owners, out = np.concatenate([np.zeros(0, np.int64), *owners]), np.concatenate([np.zeros(0, np.uint64), *out])
-    order = np.lexsort((out, owners))
-    owners, out = owners[order], out[order]
-    new = np.ones(len(out), bool)
-    new[1:] = (owners[1:] != owners[:-1]) | (out[1:] != out[:-1])
-    return owners[new], out[new]
+        count = np.diff(np.append(start, len(value)))
+        whole = count <= 3
+        sign(slot[start][whole], np.add.reduceat(content, start)[whole], count[whole])
+        some = (count >= 4) & (count <= 9)
+        rows = np.repeat(some, count)
+        inner = np.cumsum(count[some]) - count[some]
+        which, total, held = subsets(content[rows], value[rows], inner)
+        sign(slot[start][some][which], total, held)
+        more = np.repeat(count >= 8, count)
+        slot, value, content, depth = slot[more], value[more], content[more], depth[more] + 1
+    owner, signed = np.concatenate(owners), np.concatenate(out)
+    order = np.lexsort((signed, owner))
+    owner, signed = owner[order], signed[order]
+    new = np.ones(len(signed), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (signed[1:] != signed[:-1])
+    return owner[new], signed[new]
 
 
 def close_sizes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(a, b) >= SIMILARITY * np.maximum(a, b)
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, sketch) of each row; the empty set's key is null."""
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(uid, doc_id, n_shingles, set_key, sketch, least) of each row of (uid, doc_id, text); the empty set's key is null."""
 
     def run(batches):
         shingler = Shingler()
         for b in batches:
             rows = []
-            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
+            for uid, doc_id, text in zip(b["uid"], b["doc_id"], b["text"], strict=True):
                 s = shingler(text)
-                rows.append((doc_id, len(s), set_key(s) if len(s) else None, sketch(s) if len(s) else None))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_key", "sketch"], dtype=object)
-            yield out.astype({"n_shingles": "int64", "set_key": "Int64"})
+                rows.append((uid, doc_id, len(s), *((set_key(s), sketch(s), s[:LEAST].astype(np.int64).tolist()) if len(s) else (None, None, None))))
+            out = pd.DataFrame(rows, columns=["uid", "doc_id", "n_shingles", "set_key", "sketch", "least"], dtype=object)
+            yield out.astype({"uid": "int64", "n_shingles": "int64", "set_key": "Int64"})
+
+    t = texts.select("uid", F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return with_own_id(t.mapInPandas(run, "uid long, doc_id string, n_shingles long, set_key long, sketch binary, least array<long>"), texts)
 
-    return with_own_id(id_and_text(docs).mapInPandas(run, "doc_id string, n_shingles long, set_key long, sketch binary"), docs)
 
+def hub_pairs(sets: DataFrame) -> DataFrame:
+    """(a, b, na, nb): each set with a hub of the sets that share one of its least shingles."""
+    f = sets.select("set_key", "n", F.explode("least").alias("sign"))
+    hubs = f.groupBy("sign").agg(F.min_by(F.struct("set_key", "n"), F.xxhash64("set_key", "sign")).alias("hub"), F.count("*").alias("many")).where("many > 1")
+    pairs = f.join(hubs, "sign").select(F.col("hub.set_key").alias("a"), F.col("set_key").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb"))
+    return pairs.where(F.expr(f"a <> b AND 100 * least(na, nb) >= {SIMILARITY} * greatest(na, nb)")).distinct()
 
-def signature_blobs(docs: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, signs, owners, keys, sizes): the signatures of a batch that fall into a bucket, packed.
 
-    signs: 5 bytes each (the bucket is another part of the hash); owners: 4-byte places in keys and sizes.
+def signature_blobs(texts: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, signs, owners, keys, comps, sizes): the signatures of a batch of (set_key, component, text) that fall into a bucket, packed.
+
+    signs: 5 bytes each (the bucket is another part of the hash); owners: 4-byte places in keys, comps and sizes.
     """
 
-    def blobs(keys: list[int], sets: list[np.ndarray]):
+    def blobs(keys: list[int], comps: list[int], sets: list[np.ndarray]):
         owner, sign = signatures(sets)
         bucket = (sign & np.uint64(0xFFFFFF)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
         owner, sign, bucket = owner[order], sign[order] >> np.uint64(24), bucket[order].astype(np.int64)
-        keys, sizes = np.array(keys, np.int64), np.array([len(s) for s in sets], np.int32)
+        keys, comps, sizes = np.array(keys, np.int64), np.array(comps, np.int64), np.array([len(s) for s in sets], np.int32)
         edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
         rows = []
         for a, z in zip(edge, np.append(edge[1:], len(bucket)), strict=True):
             held, own = np.unique(owner[a:z], return_inverse=True)
-            rows.append((int(bucket[a]), sign[a:z].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes(), own.astype("<u4").tobytes(), keys[held].tobytes(), sizes[held].tobytes()))
-        return pd.DataFrame(rows, columns=["bucket", "signs", "owners", "keys", "sizes"])
+            signs = sign[a:z].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+            rows.append((int(bucket[a]), signs, own.astype("<u4").tobytes(), keys[held].tobytes(), comps[held].tobytes(), sizes[held].tobytes()))
+        return pd.DataFrame(rows, columns=["bucket", "signs", "owners", "keys", "comps", "sizes"])
 
     def run(batches):
-        shingler, held, size = Shingler(), {}, 0
+        shingler, keys, comps, sets, size = Shingler(), [], [], [], 0
         for b in batches:
-            for text in b["text"]:
-                s = shingler(text)
-                if len(s) and (key := set_key(s)) not in held:  # equal sets of a batch are signed once
-                    held[key] = s
-                    size += len(s)
-                    if size >= TOGETHER:
-                        yield blobs(list(held), list(held.values()))
-                        held, size = {}, 0
-        if held:
-            yield blobs(list(held), list(held.values()))
+            for key, comp, text in zip(b["set_key"], b["component"], b["text"], strict=True):
+                keys.append(key)
+                comps.append(comp)
+                sets.append(shingler(text))
+                size += len(sets[-1])
+                if size >= TOGETHER:
+                    yield blobs(keys, comps, sets)
+                    keys, comps, sets, size = [], [], [], 0
+        if keys:
+            yield blobs(keys, comps, sets)
 
-    return docs.select("text").mapInPandas(run, "bucket int, signs binary, owners binary, keys binary, sizes binary")
+    return texts.select("set_key", "component", "text").mapInPandas(run, "bucket int, signs binary, owners binary, keys binary, comps binary, sizes binary")
 
 
 def candidates(blobs: DataFrame) -> DataFrame:
-    """(bucket, grp, a, b, na, nb): pairs of keys and sizes; rows with a group list the members (a, na) of large groups."""
+    """(a, b, na, nb): pairs of keys and sizes in different components; rows with a gid are blocks (gid, block, keys, sizes) of large groups.
+
+    A gid names a list of members; each block has its sets in the order of their sizes.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         raw = np.frombuffer(b"".join(pdf["signs"]), np.uint8).reshape(-1, 5)
@@ -205,17 +273,20 @@ def candidates(blobs: DataFrame) -> DataFrame:
         sign[:, :5] = raw
         sign = sign.view("<u8").ravel()
         owners = [np.frombuffer(x, "<u4") for x in pdf["owners"]]
-        key = np.concatenate([np.frombuffer(k, np.int64)[o] for k, o in zip(pdf["keys"], owners, strict=True)])
-        size = np.concatenate([np.frombuffer(k, np.int32)[o] for k, o in zip(pdf["sizes"], owners, strict=True)])
-        order = np.lexsort((key, sign))
-        sign, key, size = sign[order], key[order], size[order]
-        new = np.ones(len(sign), bool)
-        new[1:] = (sign[1:] != sign[:-1]) | (key[1:] != key[:-1])  # copies in other batches
-        sign, key, size = sign[new], key[new], size[new]
-        start = np.flatnonzero(np.append(True, sign[1:] != sign[:-1]))
-        many = np.diff(np.append(start, len(sign)))
-        group = np.repeat(np.arange(len(many)), many)
-        first = np.repeat(start, many)
+        unpacked = lambda c, kind: np.concatenate([np.frombuffer(k, kind)[o] for k, o in zip(pdf[c], owners, strict=True)])
+        key, comp, size = unpacked("keys", np.int64), unpacked("comps", np.int64), unpacked("sizes", np.int32)
+        order = np.lexsort((key, size, sign))
+        sign, key, comp, size = sign[order], key[order], comp[order], size[order]
+
+        def groups(sign):
+            start = np.flatnonzero(np.append(True, sign[1:] != sign[:-1])) if len(sign) else np.zeros(0, np.int64)
+            return start, np.diff(np.append(start, len(sign)))
+
+        start, many = groups(sign)
+        mixed = np.repeat(np.minimum.reduceat(comp, start) != np.maximum.reduceat(comp, start), many) if len(sign) else np.zeros(0, bool)
+        sign, key, comp, size = sign[mixed], key[mixed], comp[mixed], size[mixed]
+        start, many = groups(sign)
+        group, first = np.repeat(np.arange(len(many)), many), np.repeat(start, many)
         in_small, a, b = many[group] <= SMALL, [], []
         for step in range(1, SMALL):  # the next ones of the same small group
             i = np.arange(len(sign) - step) if len(sign) > step else np.zeros(0, np.int64)
@@ -224,18 +295,28 @@ def candidates(blobs: DataFrame) -> DataFrame:
             b.append(i + step)
         star = np.flatnonzero(~in_small & (first != np.arange(len(sign))))
         a, b = np.concatenate([*a, first[star]]), np.concatenate([*b, star])
-        ok = close_sizes(size[a], size[b])
+        ok = close_sizes(size[a].astype(np.int64), size[b].astype(np.int64)) & (comp[a] != comp[b])
         a, b = a[ok], b[ok]
-        pairs = pd.DataFrame({"a": key[a], "b": key[b], "na": size[a], "nb": size[b]}).drop_duplicates()
-        pairs.insert(0, "grp", pd.array([None] * len(pairs), dtype="Int64"))
-        big = np.flatnonzero(~in_small)
-        if len(big):
-            grp = pd.array(sign[big].astype(np.int64), dtype="Int64")
-            pairs = pd.concat([pairs, pd.DataFrame({"grp": grp, "a": key[big], "b": key[big], "na": size[big], "nb": size[big]})])
-        pairs.insert(0, "bucket", int(pdf["bucket"].iloc[0]))
-        return pairs
+        pairs = pd.DataFrame({"a": np.minimum(key[a], key[b]), "b": np.maximum(key[a], key[b]), "na": np.where(key[a] < key[b], size[a], size[b]), "nb": np.where(key[a] < key[b], size[b], size[a])}).drop_duplicates()
+        rows, seen = [], set()
+        for g in np.flatnonzero(many > SMALL):
+            k, n = key[start[g] : start[g] + many[g]], size[start[g] : start[g] + many[g]]
+            gid = int(np.int64(mix(mix(k.view(np.uint64)).sum(keepdims=True) + np.uint64(len(k))).astype(np.int64)[0]))
+            if gid in seen:
+                continue
+            seen.add(gid)
+            kinds, place = np.unique(n, return_inverse=True)
+            width = np.array([sketch_bits(int(x)) // 8 for x in kinds])[place]
+            block = np.maximum((np.cumsum(width) - 1) // BLOCK_BYTES, np.arange(len(k)) // BLOCK_SETS)
+            edge = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+            for i, (x, z) in enumerate(zip(edge, np.append(edge[1:], len(k)), strict=True)):
+                rows.append((gid, i, k[x:z].tobytes(), n[x:z].tobytes()))
+        pairs = pairs.assign(gid=pd.array([None] * len(pairs), dtype="Int64"), block=0, keys=None, sizes=None)
+        blocks = pd.DataFrame(rows, columns=["gid", "block", "keys", "sizes"]).assign(a=0, b=0, na=0, nb=0)
+        columns = ["a", "b", "na", "nb", "gid", "block", "keys", "sizes"]
+        return pd.concat([x[columns].astype({"gid": "Int64"}) for x in (pairs, blocks) if len(x)]) if len(pairs) + len(blocks) else pairs[columns]
 
-    return blobs.groupBy("bucket").applyInPandas(run, "bucket int, grp long, a long, b long, na int, nb int")
+    return blobs.groupBy("bucket").applyInPandas(run, "a long, b long, na int, nb int, gid long, block int, keys binary, sizes binary")
 
 
 def near_by_sketch(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -251,19 +332,17 @@ def near_by_sketch(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInPandas(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, counted on whole sets."""
     keys = pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
-    wanted = stage(sets.join(keys, "set_key", "left_semi").select("rep_id").distinct(), "wanted")
-    texts = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["rep_id"]), "left_semi")
+    wanted = stage(sets.join(keys, "set_key", "left_semi").select("set_key", "uid"), "wanted")
 
     def run(batches):
         shingler = Shingler()
         for b in batches:
-            rows = [(set_key(s), s.tobytes()) for s in map(shingler, b["text"]) if len(s)]
-            yield pd.DataFrame(rows, columns=["set_key", "shingles"])
+            yield pd.DataFrame({"set_key": b["set_key"], "shingles": [shingler(t).tobytes() for t in b["text"]]})
 
-    whole = texts.mapInPandas(run, "set_key long, shingles binary").dropDuplicates(["set_key"])
+    whole = texts.select("uid", "text").join(wanted, "uid").select("set_key", "text").mapInPandas(run, "set_key long, shingles binary")
     whole = stage(whole, "shingles")
     both = pairs.join(whole.withColumnsRenamed({"set_key": "a", "shingles": "sa"}), "a").join(whole.withColumnsRenamed({"set_key": "b", "shingles": "sb"}), "b")
 
@@ -279,116 +358,145 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInPandas(count, "a long, b long")
 
 
-def close_pairs(size: np.ndarray, comp: np.ndarray, sketches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a group's members, in different components, that sizes and sketches don't rule out.
+class Block:
+    """Sets of a group: keys, components, sizes and sketches."""
 
-    Only members outside of the group's largest component are compared with all others, some rows at a time.
-    """
-    names, number = np.unique(comp, return_inverse=True)
-    rows = np.flatnonzero(number != np.bincount(number).argmax())
-    width = np.array([len(x) for x in sketches])
-    left, right = [], []
-    for w in np.unique(width):
-        # Sets of this width with those of the same or the next one; larger sets are out of reach.
-        near = np.flatnonzero((width == w) | (width == 2 * w))
-        bits = np.stack([sketches[i] if width[i] == w else sketches[i][: len(sketches[i]) // 2] ^ sketches[i][len(sketches[i]) // 2 :] for i in near])
-        is_row, at_width = np.isin(near, rows), width[near] == w
-        step = max(1, 4_000_000 // (bits.shape[1] * len(near)))
-        first = np.flatnonzero(is_row)
-        for part in (first[i : i + step] for i in range(0, len(first), step)):
-            i, j = near[part][:, None], near[None, :]
-            # Once for each pair, and at the width of the narrower of both.
-            wanted = (comp[i] != comp[j]) & (~is_row[None, :] | (i < j)) & (at_width[part][:, None] | at_width[None, :])
-            wanted &= close_sizes(size[i], size[j])
+    def __init__(self, keys: bytes, comps: bytes, sizes: bytes, sketches: bytes) -> None:
+        self.key, self.comp = np.frombuffer(keys, np.int64), np.frombuffer(comps, np.int64)
+        self.size = np.frombuffer(sizes, np.int32).astype(np.int64)
+        bits = {n: sketch_bits(int(n)) for n in np.unique(self.size)}
+        self.width = np.array([bits[n] // 64 for n in self.size])
+        at = np.cumsum(self.width) - self.width
+        words = np.frombuffer(sketches, np.uint64)
+        self.rows = {w: np.flatnonzero(self.width == w) for w in np.unique(self.width)}
+        self.sketch = {w: words[at[r][:, None] + np.arange(w)] for w, r in self.rows.items()}
+
+
+def close_pairs(x: Block, y: Block, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places in x and y of sets in different components that sizes and sketches don't rule out."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for w, i in x.rows.items():
+        for v, j in y.rows.items():
+            if not w <= 2 * v <= 4 * w:  # sizes within 0.8 differ by one step of widths at most
+                continue
+            wanted = (x.comp[i][:, None] != y.comp[j][None, :]) & close_sizes(x.size[i][:, None], y.size[j][None, :])
+            if same:
+                wanted &= i[:, None] < j[None, :]
             p, q = np.nonzero(wanted)
             if not len(p):
                 continue
-            together = max(1, 1_000_000 // bits.shape[1])  # some 8 MB of sketches
+            fold = lambda s, to: s if s.shape[1] == to else s[:, :to] ^ s[:, to:]
+            a, b = fold(x.sketch[w], min(v, w)), fold(y.sketch[v], min(v, w))
+            together = max(1, 1_000_000 // min(v, w))  # some 8 MB of sketches
             for k in range(0, len(p), together):
-                x, y = part[p[k : k + together]], q[k : k + together]
-                ok = 9 * np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64) <= size[near[x]] + size[near[y]]
-                left.append(near[x[ok]])
-                right.append(near[y[ok]])
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *left]), np.concatenate([none, *right])
+                c, d = p[k : k + together], q[k : k + together]
+                ok = 9 * np.bitwise_count(a[c] ^ b[d]).sum(1, dtype=np.int64) <= x.size[i[c]] + y.size[j[d]]
+                left.append(i[c[ok]])
+                right.append(j[d[ok]])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def forest(pairs: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """Of (a, b, component of a, of b) those that would, if they were links, join what all of them could join."""
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.setdefault(c, c) != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    out = []
+    for a, b, c, d in pairs:
+        if (c := root(c)) != (d := root(d)):
+            parent[c] = d
+            out.append((a, b))
+    return out
+
+
+def across_components(members: DataFrame, labels: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
+    """(a, b): candidates between components of large groups (gid, block, set_key); all of them, or a forest of each pair of blocks."""
+    m = members.join(labels, members["set_key"] == labels["node"], "left").select("gid", "block", "set_key", "n", F.coalesce("component", "set_key").alias("component"))
+    mixed = m.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gid")
+    m = stage(m.join(mixed, "gid", "left_semi"), "mixed")
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["n", "set_key"])
+        row = (int(pdf["gid"].iloc[0]), int(pdf["block"].iloc[0]), *(pdf[c].to_numpy(k).tobytes() for c, k in (("set_key", np.int64), ("component", np.int64), ("n", np.int32))), b"".join(pdf["sketch"]))
+        return pd.DataFrame([(*row, int(pdf["n"].min()), int(pdf["n"].max()), int(pdf["component"].min()), int(pdf["component"].max()))], columns=["gid", "block", "keys", "comps", "sizes", "sketches", "low", "high", "x", "y"])
+
+    held = m.join(sets.select("set_key", "sketch"), "set_key")
+    blocks = stage(held.groupBy("gid", "block").applyInPandas(pack, "gid long, block int, keys binary, comps binary, sizes binary, sketches binary, low int, high int, x long, y long"), "blocks")
+    info = blocks.select("gid", "block", "low", "high", "x", "y")
+    other = info.select("gid", *[F.col(c).alias(f"{c}2") for c in ("block", "low", "high", "x", "y")])
+    which = info.join(other, "gid").where(f"block <= block2 AND 100 * high2 >= {SIMILARITY} * low AND 100 * high >= {SIMILARITY} * low2 AND (x <> y2 OR x2 <> y)")
+    packed = F.struct("keys", "comps", "sizes", "sketches")
+    one, two = blocks.select("gid", "block", packed.alias("one")), blocks.select("gid", F.col("block").alias("block2"), packed.alias("two"))
+    both = which.select("gid", "block", "block2").join(one, ["gid", "block"]).join(two, ["gid", "block2"])
+
+    def search(batches):
+        for b in batches:
+            found: list[tuple[int, int]] = []
+            for i, j, x, y in zip(b["block"], b["block2"], b["one"], b["two"], strict=True):
+                x, y = Block(**x), Block(**y)
+                p, q = close_pairs(x, y, i == j)
+                if every:
+                    found += zip(x.key[p].tolist(), y.key[q].tolist(), strict=True)
+                else:
+                    found += forest(list(zip(x.key[p].tolist(), y.key[q].tolist(), x.comp[p].tolist(), y.comp[q].tolist(), strict=True)))
+            yield pd.DataFrame({(min(p), max(p)) for p in found}, columns=["a", "b"], dtype="int64")
 
+    return both.select("block", "block2", "one", "two").mapInPandas(search, "a long, b long").distinct()
 
-def across_components(members: DataFrame, labels: DataFrame, sets: DataFrame, failed: DataFrame, forests: int) -> DataFrame:
-    """(bucket, grp, a, b): candidates between components of large groups that sizes, sketches and failed (bucket, a, b) don't rule out.
 
-    From each group as many forests at most: pairs that would, if they were links, join what can be joined. Their grp is -1;
-    rows of another grp name the groups that have any, as only these may have more.
-    """
-    m = members.join(labels, members["a"] == labels["node"], "left").select("bucket", "grp", "a", "na", F.coalesce("component", "a").alias("component"))
-    mixed = m.groupBy("bucket", "grp").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket", "grp")
-    m = stage(m.join(mixed, ["bucket", "grp"], "left_semi"), "members")
-    held = m.select("bucket", F.col("a").alias("set_key")).distinct().join(sets.select("set_key", "sketch"), "set_key")
-    side = held.select("bucket", F.col("set_key").alias("a"), F.lit(0).cast("long").alias("b"), "sketch")
-    side = stage(side.unionByName(failed.withColumn("sketch", F.lit(None).cast("binary"))), "sketches")
-
-    def run(pdf: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
-        pairs: list[tuple[int, int]] = []
-        active: list[int] = []
-        if len(pdf):
-            is_set = side["sketch"].notna().to_numpy()
-            sketches = {k: np.frombuffer(x, np.uint64) for k, x in zip(side["a"][is_set], side["sketch"][is_set], strict=True)}
-            known = set(zip(side["a"][~is_set].tolist(), side["b"][~is_set].tolist(), strict=True))
-            out: set[tuple[int, int]] = set()
-            pdf = pdf.sort_values(["grp", "a"])
-            grp, keys, sizes, comps = (pdf[c].to_numpy() for c in ("grp", "a", "na", "component"))
-            edges = np.flatnonzero(np.append(True, grp[1:] != grp[:-1]))
-            for first, last in zip(edges, np.append(edges[1:], len(grp)), strict=True):
-                key, comp = keys[first:last], comps[first:last]
-                left, right = close_pairs(sizes[first:last].astype(np.int64), comp, [sketches[k] for k in key])
-                own = [(x, y, (int(min(key[x], key[y])), int(max(key[x], key[y])))) for x, y in zip(left.tolist(), right.tolist(), strict=True)]
-                own = [o for o in own if o[2] not in known]
-                if own:
-                    active.append(int(grp[first]))
-                for _ in range(forests):
-                    joined, rest = comp.copy(), []
-                    for x, y, pair in own:
-                        if joined[x] == joined[y]:
-                            rest.append((x, y, pair))
-                            continue
-                        joined[joined == joined[y]] = joined[x]
-                        if pair not in out:  # another group of the bucket may have given it
-                            out.add(pair)
-                            pairs.append(pair)
-                    own = rest
-                    if not own:
-                        break
-        found = pd.DataFrame([(-1, a, b) for a, b in pairs] + [(g, 0, 0) for g in active], columns=["grp", "a", "b"], dtype="int64")
-        found.insert(0, "bucket", int(pdf["bucket"].iloc[0]) if len(pdf) else 0)
-        return found
-
-    return m.groupBy("bucket").cogroup(side.groupBy("bucket")).applyInPandas(run, "bucket int, grp long, a long, b long")
+def unpacked(blocks: DataFrame) -> DataFrame:
+    """(gid, block, set_key, n) of the members of blocks."""
 
+    def run(batches):
+        for b in batches:
+            for gid, block, keys, sizes in zip(b["gid"], b["block"], b["keys"], b["sizes"], strict=True):
+                yield pd.DataFrame({"gid": gid, "block": block, "set_key": np.frombuffer(keys, np.int64), "n": np.frombuffer(sizes, np.int32)})
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, component_id), a row for each row of docs."""
-    docs = docs.select("doc_id", "text")
-    members = stage(shingle_sets(docs), "sets")
-    sets = members.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("rep_id"), F.first("sketch").alias("sketch"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    found = stage(candidates(signature_blobs(docs, max(8, int(size // BUCKET_BYTES)))), "candidates")
-    pairs = found.where("grp IS NULL").select("a", "b", "na", "nb").distinct()
-    links = stage(verified(stage(near_by_sketch(pairs, sets), "pairs"), docs, sets), "links")
+    return blocks.select("gid", "block", "keys", "sizes").mapInPandas(run, "gid long, block int, set_key long, n int")
+
+
+def _near_duplicates(texts: DataFrame) -> DataFrame:
+    """(uid, doc_id, n_shingles, set_key, component), a row for each of the staged (uid, doc_id, text); component: a key, null for the empty set."""
+    members = stage(shingle_sets(texts), "sets")
+    sets = members.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(
+        F.min("uid").alias("uid"), F.first("n_shingles").cast("int").alias("n"), F.first("sketch").alias("sketch"), F.first("least").alias("least")
+    )
+    sets = stage(sets, "distinct")
+    links = verified(stage(near_by_sketch(hub_pairs(sets), sets), "pairs"), texts, sets)
+    links = stage(links, "links")
     labels = stage(components(links), "components")
-    large, forests = found.where("grp IS NOT NULL").select("bucket", "grp", "a", "na"), 1
-    failed = docs.sparkSession.createDataFrame([], "bucket int, a long, b long")
-    while True:
-        seen = stage(across_components(large, labels, sets, failed, forests), "across")
-        more = seen.where("grp = -1")
-        if more.isEmpty():
-            break
-        large = large.join(seen.where("grp >= 0").select("bucket", "grp"), ["bucket", "grp"], "left_semi")
-        right = stage(verified(stage(more.select("a", "b").distinct(), "pairs"), docs, sets), "links")
-        if not right.isEmpty():
-            links = links.unionByName(right)
+
+    def joined(pairs: DataFrame) -> None:
+        """Takes those of the pairs that link into links and labels."""
+        nonlocal links, labels
+        pairs = stage(pairs, "pairs")
+        if pairs.isEmpty():
+            return
+        more = stage(verified(pairs, texts, sets), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
             labels = stage(components(links), "components")
-        failed = stage(failed.unionByName(more.join(right, ["a", "b"], "left_anti").select("bucket", "a", "b")), "failed")
-        forests *= 16  # so that groups with many near misses don't take many rounds
-    whole = members.join(labels, members["set_key"] == labels["node"], "left").select("doc_id", "n_shingles", "set_key", F.coalesce("component", "set_key").alias("component"))
+
+    rest = sets.join(labels, sets["set_key"] == labels["node"], "left").select("uid", "set_key", F.coalesce("component", "set_key").alias("component"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    found = stage(candidates(signature_blobs(texts.select("uid", "text").join(rest, "uid"), max(8, int(size // BUCKET_BYTES)))), "candidates")
+    joined(near_by_sketch(found.where("gid IS NULL").select("a", "b", "na", "nb").distinct(), sets))
+    large = stage(unpacked(found.where("gid IS NOT NULL").dropDuplicates(["gid", "block"])), "members")
+    if not large.isEmpty():
+        for every in (False, True):
+            joined(across_components(large, labels, sets, every))
+    whole = members.join(labels, members["set_key"] == labels["node"], "left")
+    return whole.select("uid", "doc_id", "n_shingles", "set_key", F.coalesce("component", "set_key").alias("component"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, set_key, component_id), a row for each row of docs."""
+    whole = _near_duplicates(with_row(docs.select("doc_id", "text")).withColumnRenamed(ROW, "uid"))
     least = whole.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = whole.join(least, "component", "left")
     return out.select("doc_id", "n_shingles", "set_key", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
@@ -397,13 +505,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs with one row of each component: that of the least id (a null one is the last), whatever other rows have this id."""
     docs = with_row(docs)
-    near = near_duplicates(docs.select(F.col(ROW).alias("doc_id"), "text")).where("component_id <> doc_id")
-    near = stage(near.select(F.col("doc_id").alias("row"), F.col("component_id").alias("least")), "linked")
-    near = near.unionByName(near.select(F.col("least").alias("row"), "least").distinct())
-    ids = docs.select(F.col(ROW).alias("row"), "doc_id")
-    first = near.join(ids, "row").groupBy("least").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row"))
-    gone = stage(near.select("row").join(first, "row", "left_anti"), "gone")
-    return docs.join(gone, docs[ROW] == gone["row"], "left_anti").drop(ROW)
+    near = _near_duplicates(docs.select(F.col(ROW).alias("uid"), "doc_id", "text")).where(F.col("component").isNotNull())
+    near = stage(near.select("uid", "doc_id", "component"), "linked")
+    first = near.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid"))["uid"].alias("uid"))
+    gone = stage(near.join(first, "uid", "left_anti").select("uid"), "gone")
+    return docs.join(gone, docs[ROW] == gone["uid"], "left_anti").drop(ROW)
 
 
 def query(docs: DataFrame) -> DataFrame:
