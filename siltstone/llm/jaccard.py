@@ -58,6 +58,8 @@ BLOCK_SETS, BLOCK_BYTES = 1024, 1 << 18
 #: Shingles worked on at once, and bytes of text for each bucket of signatures.
 TOGETHER = 250_000
 BUCKET_BYTES = 32_000_000
+#: Shingles of sets whose sketches (some a byte for each) are packed into blocks at once.
+SLOT_SHINGLES = 16_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -278,14 +280,15 @@ def candidates(blobs: DataFrame) -> DataFrame:
         order = np.lexsort((key, size, sign))
         sign, key, comp, size = sign[order], key[order], comp[order], size[order]
 
-        def groups(sign):
-            start = np.flatnonzero(np.append(True, sign[1:] != sign[:-1])) if len(sign) else np.zeros(0, np.int64)
+        def groups(sign, size):
+            """Where groups start, also at a gap of sizes, and how many sets each has."""
+            start = np.flatnonzero(np.append(True, (sign[1:] != sign[:-1]) | ~close_sizes(size[1:].astype(np.int64), size[:-1].astype(np.int64)))) if len(sign) else np.zeros(0, np.int64)
             return start, np.diff(np.append(start, len(sign)))
 
-        start, many = groups(sign)
+        start, many = groups(sign, size)
         mixed = np.repeat(np.minimum.reduceat(comp, start) != np.maximum.reduceat(comp, start), many) if len(sign) else np.zeros(0, bool)
         sign, key, comp, size = sign[mixed], key[mixed], comp[mixed], size[mixed]
-        start, many = groups(sign)
+        start, many = groups(sign, size)
         group, first = np.repeat(np.arange(len(many)), many), np.repeat(start, many)
         in_small, a, b = many[group] <= SMALL, [], []
         for step in range(1, SMALL):  # the next ones of the same small group
@@ -415,18 +418,28 @@ def forest(pairs: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
 
 
 def across_components(members: DataFrame, labels: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
-    """(a, b): candidates between components of large groups (gid, block, set_key); all of them, or a forest of each pair of blocks."""
+    """(gid, a, b): candidates between components of large groups (gid, block, set_key); all of them, or a forest of each pair of blocks.
+
+    Where a forest leaves candidates out, a row without a and b names the group.
+    """
     m = members.join(labels, members["set_key"] == labels["node"], "left").select("gid", "block", "set_key", "n", F.coalesce("component", "set_key").alias("component"))
     mixed = m.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gid")
     m = stage(m.join(mixed, "gid", "left_semi"), "mixed")
+    slots = max(8, (m.agg(F.sum("n")).first()[0] or 0) // SLOT_SHINGLES)
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "set_key"])
-        row = (int(pdf["gid"].iloc[0]), int(pdf["block"].iloc[0]), *(pdf[c].to_numpy(k).tobytes() for c, k in (("set_key", np.int64), ("component", np.int64), ("n", np.int32))), b"".join(pdf["sketch"]))
-        return pd.DataFrame([(*row, int(pdf["n"].min()), int(pdf["n"].max()), int(pdf["component"].min()), int(pdf["component"].max()))], columns=["gid", "block", "keys", "comps", "sizes", "sketches", "low", "high", "x", "y"])
-
-    held = m.join(sets.select("set_key", "sketch"), "set_key")
-    blocks = stage(held.groupBy("gid", "block").applyInPandas(pack, "gid long, block int, keys binary, comps binary, sizes binary, sketches binary, low int, high int, x long, y long"), "blocks")
+        pdf = pdf.sort_values(["gid", "block", "n", "set_key"])
+        gid, block, key, comp, n = (pdf[c].to_numpy() for c in ("gid", "block", "set_key", "component", "n"))
+        sketches, rows = pdf["sketch"].tolist(), []
+        edge = np.flatnonzero(np.append(True, (gid[1:] != gid[:-1]) | (block[1:] != block[:-1])))
+        for a, z in zip(edge, np.append(edge[1:], len(gid)), strict=True):
+            packed = key[a:z].astype(np.int64).tobytes(), comp[a:z].astype(np.int64).tobytes(), n[a:z].astype(np.int32).tobytes(), b"".join(sketches[a:z])
+            rows.append((int(gid[a]), int(block[a]), *packed, int(n[a]), int(n[z - 1]), int(comp[a:z].min()), int(comp[a:z].max())))
+        return pd.DataFrame(rows, columns=["gid", "block", "keys", "comps", "sizes", "sketches", "low", "high", "x", "y"])
+
+    held = m.join(sets.select("set_key", "sketch"), "set_key").withColumn("slot", F.pmod(F.xxhash64("gid", "block"), F.lit(slots)))
+    blocks = held.groupBy("slot").applyInPandas(pack, "gid long, block int, keys binary, comps binary, sizes binary, sketches binary, low int, high int, x long, y long")
+    blocks = stage(blocks, "blocks")
     info = blocks.select("gid", "block", "low", "high", "x", "y")
     other = info.select("gid", *[F.col(c).alias(f"{c}2") for c in ("block", "low", "high", "x", "y")])
     which = info.join(other, "gid").where(f"block <= block2 AND 100 * high2 >= {SIMILARITY} * low AND 100 * high >= {SIMILARITY} * low2 AND (x <> y2 OR x2 <> y)")
@@ -436,17 +449,17 @@ def across_components(members: DataFrame, labels: DataFrame, sets: DataFrame, ev
 
     def search(batches):
         for b in batches:
-            found: list[tuple[int, int]] = []
-            for i, j, x, y in zip(b["block"], b["block2"], b["one"], b["two"], strict=True):
+            found: set = set()
+            for gid, i, j, x, y in zip(b["gid"], b["block"], b["block2"], b["one"], b["two"], strict=True):
                 x, y = Block(**x), Block(**y)
                 p, q = close_pairs(x, y, i == j)
-                if every:
-                    found += zip(x.key[p].tolist(), y.key[q].tolist(), strict=True)
-                else:
-                    found += forest(list(zip(x.key[p].tolist(), y.key[q].tolist(), x.comp[p].tolist(), y.comp[q].tolist(), strict=True)))
-            yield pd.DataFrame({(min(p), max(p)) for p in found}, columns=["a", "b"], dtype="int64")
+                pairs = list(zip(x.key[p].tolist(), y.key[q].tolist(), x.comp[p].tolist(), y.comp[q].tolist(), strict=True))
+                taken = [r[:2] for r in pairs] if every else forest(pairs)
+                found |= {(0, min(r), max(r)) for r in taken} | ({(gid, None, None)} if len(taken) < len(pairs) else set())
+            out = pd.DataFrame(list(found), columns=["gid", "a", "b"], dtype=object)
+            yield out.astype({"gid": "int64", "a": "Int64", "b": "Int64"})
 
-    return both.select("block", "block2", "one", "two").mapInPandas(search, "a long, b long").distinct()
+    return both.select("gid", "block", "block2", "one", "two").mapInPandas(search, "gid long, a long, b long").distinct()
 
 
 def unpacked(blocks: DataFrame) -> DataFrame:
@@ -454,8 +467,9 @@ def unpacked(blocks: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for gid, block, keys, sizes in zip(b["gid"], b["block"], b["keys"], b["sizes"], strict=True):
-                yield pd.DataFrame({"gid": gid, "block": block, "set_key": np.frombuffer(keys, np.int64), "n": np.frombuffer(sizes, np.int32)})
+            many = [len(x) // 4 for x in b["sizes"]]
+            keys, sizes = np.frombuffer(b"".join(b["keys"]), np.int64), np.frombuffer(b"".join(b["sizes"]), np.int32)
+            yield pd.DataFrame({"gid": np.repeat(b["gid"].to_numpy(), many), "block": np.repeat(b["block"].to_numpy(), many), "set_key": keys, "n": sizes})
 
     return blocks.select("gid", "block", "keys", "sizes").mapInPandas(run, "gid long, block int, set_key long, n int")
 
@@ -487,9 +501,11 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
     found = stage(candidates(signature_blobs(texts.select("uid", "text").join(rest, "uid"), max(8, int(size // BUCKET_BYTES)))), "candidates")
     joined(near_by_sketch(found.where("gid IS NULL").select("a", "b", "na", "nb").distinct(), sets))
     large = stage(unpacked(found.where("gid IS NOT NULL").dropDuplicates(["gid", "block"])), "members")
-    if not large.isEmpty():
-        for every in (False, True):
-            joined(across_components(large, labels, sets, every))
+    for every in (False, True):
+        if not large.isEmpty():
+            across = stage(across_components(large, labels, sets, every), "across")
+            large = large.join(across.where("a IS NULL").select("gid").distinct(), "gid", "left_semi")
+            joined(across.where("a IS NOT NULL").select("a", "b"))
     whole = members.join(labels, members["set_key"] == labels["node"], "left")
     return whole.select("uid", "doc_id", "n_shingles", "set_key", F.coalesce("component", "set_key").alias("component"))
 
