@@ -2,17 +2,19 @@
 
 1. Benchmark items become windows of 10 consecutive words (a shorter item is one window).
 2. One pass over the corpus counts in how many documents each benchmark word occurs.
-3. Each window is looked up by its rarest word: a second pass stores the postings (document, position, the
-   words around) of these words only.
-4. Lists less their offsets in the window are intersected from the rarest on: the second rarest word must stand at its
-   offset from the posting, then all others. Proximity matches are places where the two rarest words stand so and at
-   least 8 of 10 words agree.
-
-No text or posting is shuffled. The benchmark is worked off in blocks of a bounded number of windows, which alone are
-broadcast, so the benchmark may grow too.
-
-Edge cases: null text has no words, null or wordless items no windows; repeated rows are answered each;
-an empty benchmark hits nothing; columns other than doc_id and text are ignored.
+3. A match of a window may differ from it in at most 1 - NEAR of its places. Words that the corpus lacks differ in any case; of the others, the
+   rarest are looked up, one more than may still differ, so that a match has one of them at its place.
+4. A second pass stores the postings (document, position, the words around) of the looked-up words only.
+5. Lists less their offsets in the window are intersected from the rarest on: around each posting, the words that stand at the places of the
+   window's others are counted. All places: an exact hit. A share of NEAR or more: a proximity match.
+
+The words around a posting are the entries of all other terms' lists that may meet it, so that lists are intersected where a rare
+one stands and the longer ones are never stored, sorted or moved. No text or posting is shuffled. The benchmark is worked off in blocks of a
+bounded number of windows, which alone (not the items that hold them) are broadcast, so the benchmark may grow too.
+
+Edge cases: null text has no words, null or wordless items no windows; repeated rows are answered each; an empty benchmark
+hits nothing; words of the same count are looked up from the left; a place that one window hits and another one nearly is in both lists; a text
+may be of any length, its postings are a list of its row; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -24,45 +26,39 @@ from ..plans.staging import stage
 from .columns import MARKS, ROW, lower_ascii, with_row, words
 
 WINDOW = 10
-#: Windows in a block: 20,000 windows of 10 words are some 3 MB.
+#: Windows in a block: 20,000 windows of 10 words, each under at most 3 words, are some 10 MB.
 BLOCK = 20_000
-#: Share of a window's words that must agree for a proximity match.
-NEAR = 0.8
+#: Percentage of a window's words that must agree for a proximity match.
+NEAR = 80
 
 
 def _tokens(text: Column) -> Column:
     return words(lower_ascii(text), MARKS)
 
 
-def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(key, win, items): each distinct window and the ids of its items, as text."""
+def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """((wid, win): the distinct windows; (wid, item_id): their items, ids as text), staged."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), _tokens(F.col("text")).alias("w"))
     items = items.where((F.size("w") > 0) & F.col("item_id").isNotNull())
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1)))
-    wins = items.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i, size))).alias("win"))
-    wins = wins.withColumn("key", F.array_join("win", " "))
-    return wins.groupBy("key").agg(F.first("win").alias("win"), F.collect_set("item_id").alias("items"))
+    held = stage(items.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i, size))).alias("win")).distinct(), "windows")
+    wins = stage(held.select("win").distinct().withColumn("wid", F.monotonically_increasing_id()), "windows")
+    return wins, stage(held.join(wins, "win").select("wid", "item_id"), "items")
 
 
-def _with_rarest(wins: DataFrame, df: DataFrame) -> DataFrame:
-    """The offsets (from 0) of the rarest and the second rarest word of each window all of whose words occur, and the rarest.
-
-    Windows of one word have no second.
-    """
-    w = wins.select("key", F.posexplode("win").alias("o", "word")).join(F.broadcast(df), "word", "left")
-    w = w.groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("n", "o", "word"))).alias("r"), F.count_if(F.col("n").isNull()).alias("gone")
+def _lookups(wins: DataFrame, df: DataFrame) -> DataFrame:
+    """(wid, win, word, o): the words by which each window is looked up, and their offsets from 0."""
+    w = wins.select("wid", "win", F.posexplode("win").alias("o", "word")).join(F.broadcast(df), "word", "left")
+    w = w.groupBy("wid").agg(
+        F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "o", "word")))).alias("r"), F.first("win").alias("win")
     )
-    w = w.where("gone = 0").select("key", F.col("r")[0]["o"].alias("o1"), F.col("r")[0]["word"].alias("w1"), F.get("r", F.lit(1))["o"].alias("o2"))
-    return wins.join(w, "key")
+    may_differ = F.size("win") - F.ceil(F.size("win") * NEAR / 100).cast("int")
+    w = w.withColumn("many", may_differ - (F.size("win") - F.size("r")) + 1).where("many > 0")
+    return w.select("wid", "win", F.explode(F.slice("r", F.lit(1), F.col("many"))).alias("p")).select("wid", "win", "p.word", "p.o")
 
 
 def _postings(docs: DataFrame, terms: list[str], reach: int) -> DataFrame:
-    """docs with n_words and post: the places of the terms, each with the words up to reach before and after.
-
-    The words around a posting are the entries of all other terms' lists that may meet it, so that lists are
-    intersected where the rarest one stands and the longer ones are never stored, sorted or moved.
-    """
+    """docs with n_words and post: the places of the terms, each with the words up to reach before and after."""
     t = docs.select("uid", "doc_id", _tokens(F.col("text")).alias("w"))
     found = F.transform(
         "w",
@@ -75,30 +71,27 @@ def _postings(docs: DataFrame, terms: list[str], reach: int) -> DataFrame:
 
 
 def _block(docs: DataFrame, wins: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """The staged postings table for a block of windows, and (uid, kind, span, items) of its matches."""
+    """The staged postings table for a block of windows, and (uid, wid, start, n, same) of its matches."""
     spark = docs.sparkSession
     vocabulary = [r[0] for r in wins.select(F.explode("win")).distinct().collect()]  # at most BLOCK * size words
     kept = F.filter(_tokens(F.col("text")), lambda x: x.isin(vocabulary))
     df = docs.select(F.explode(F.array_distinct(kept)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     rows = [(r["word"], r["n"]) for r in df.collect()]  # no more rows than the vocabulary has
-    wins = stage(_with_rarest(wins, spark.createDataFrame(rows, "word string, n long")), "windows")
-    terms = [r[0] for r in wins.select("w1").distinct().collect()]
+    wins = stage(_lookups(wins, spark.createDataFrame(rows, "word string, n long")), "lookups")
+    terms = [r[0] for r in wins.select("word").distinct().collect()]
     reach = size - 1
     table = stage(_postings(docs, terms, reach), "postings")
     post = table.select("uid", F.explode("post").alias("p")).select("uid", "p.*")
     at = F.least(F.col("pos"), F.lit(reach))  # of the word among the words around
-    start = at - F.col("o1")  # of the window among them
-    meets = F.col("o2").isNull() | F.coalesce(F.get("near", start + F.col("o2")) == F.get("win", F.col("o2")), F.lit(False))
-    agree = F.filter(F.zip_with("win", "here", lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x)
+    start = at - F.col("o")  # of the window among them
+    same = F.aggregate(F.zip_with("win", F.slice("near", F.greatest(start, F.lit(0)) + 1, F.size("win")), lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
     found = (
-        post.join(F.broadcast(wins), post["word"] == wins["w1"])
-        .where((start >= 0) & meets)
-        .withColumn("here", F.slice("near", F.greatest(start, F.lit(0)) + 1, F.size("win")))
-        .select("uid", F.struct((F.col("pos") - F.col("o1")).alias("start"), F.size("win").alias("n")).alias("span"), "items", F.size(agree).alias("same"))
-        .where(F.col("same") >= NEAR * F.col("span.n"))
+        post.join(F.broadcast(wins), "word")
+        .where(start >= 0)
+        .select("uid", "wid", (F.col("pos") - F.col("o")).alias("start"), F.size("win").alias("n"), same.alias("same"))
+        .where(100 * F.col("same") >= NEAR * F.col("n"))
     )
-    kind = F.when(F.col("same") == F.col("span.n"), "hits").otherwise("near").alias("kind")
-    return table, found.select("uid", kind, "span", "items")
+    return table, found
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = BLOCK) -> DataFrame:
@@ -111,22 +104,20 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, bloc
 
 def _matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = BLOCK, staged: bool = False) -> DataFrame:
     """find_matches of (uid, doc_id, text), which may be staged already."""
-    wins = stage(benchmark_windows(benchmark, size), "benchmark")
+    wins, items = benchmark_windows(benchmark, size)
     blocks = max(1, -(-wins.count() // block))
     if blocks > 1 and not staged:  # each block passes over the same uids
         docs = stage(docs, "texts")
-    done = [_block(docs, wins.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b), size) for b in range(blocks)]
+    done = [_block(docs, wins.where(F.pmod(F.xxhash64("wid"), F.lit(blocks)) == b), size) for b in range(blocks)]
     rows = done[0][1]
     for _, more in done[1:]:
         rows = rows.unionByName(more)
-    hit = F.col("kind") == "hits"
-    per = rows.groupBy("uid").agg(
-        F.array_sort(F.collect_set(F.when(hit, F.col("span")))).alias("hits"),
-        F.array_sort(F.collect_set(F.when(~hit, F.col("span")))).alias("near"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(hit, F.col("items")))))).alias("items"),
-    )
+    rows = stage(rows, "matches")
+    hit, span = F.col("same") == F.col("n"), F.struct("start", "n")
+    per = rows.groupBy("uid").agg(F.array_sort(F.collect_set(F.when(hit, span))).alias("hits"), F.array_sort(F.collect_set(F.when(~hit, span))).alias("near"))
+    held = rows.where(hit).select("uid", "wid").distinct().join(items, "wid").groupBy("uid").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     spans, ids = F.array().cast("array<struct<start:int,n:int>>"), F.array().cast("array<string>")
-    return done[0][0].join(per, "uid", "left").select(
+    return done[0][0].select("uid", "doc_id", "n_words").join(per.join(held, "uid", "left"), "uid", "left").select(
         "uid", "doc_id", "n_words", F.coalesce("hits", spans).alias("hits"), F.coalesce("near", spans).alias("near"), F.coalesce("items", ids).alias("items")
     )
 
@@ -148,10 +139,11 @@ def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return m.select(
         "doc_id", "n_words", _n_hit(F.col("hits")).cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
+        F.array_join(F.transform("near", lambda s: F.concat_ws(":", s["start"].cast("string"), s["n"].cast("string"))), ",").alias("near"),
     )
 
 
-#: The contract in DuckDB SQL.
+#: The contract in DuckDB SQL; near: places where some window agrees in 80 of 100 of its words, but not in all.
 SQL = r"""
 WITH iw AS (SELECT item_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark WHERE text IS NOT NULL),
 win AS (SELECT item_id, w[i : least(i + 9, len(w))] AS ws FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM iw WHERE len(w) > 0)),
@@ -159,9 +151,13 @@ dw AS (SELECT row_number() OVER () AS uid, doc_id, list_filter(string_split_rege
 lens AS (SELECT DISTINCT len(ws) AS n FROM win),
 dg AS (SELECT uid, n, i - 1 AS s, w[i : i + n - 1] AS ws FROM (SELECT uid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, lens WHERE len(w) >= n)),
 hit AS (SELECT uid, s, dg.n, item_id FROM dg JOIN win USING (ws)),
+wp AS (SELECT DISTINCT ws, len(ws) AS n FROM win), wo AS (SELECT ws, n, unnest(range(1, n + 1)) AS o, unnest(ws) AS x FROM wp),
+dp AS (SELECT uid, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM dw),
+nr AS (SELECT DISTINCT uid, s, n FROM (SELECT uid, p - o AS s, n, ws, count(*) AS same FROM dp JOIN wo USING (x) WHERE p >= o GROUP BY ALL) WHERE 100 * same >= 80 * n AND same < n),
+nrs AS (SELECT uid, string_agg(s || ':' || n, ',' ORDER BY s, n) AS near FROM nr GROUP BY uid),
 pos AS (SELECT uid, count(DISTINCT p) AS n_hit FROM (SELECT uid, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT uid, s, n FROM hit)) GROUP BY uid),
 its AS (SELECT uid, count(*) AS n_items, string_agg(i, ',' ORDER BY i COLLATE "C") AS ids FROM (SELECT DISTINCT uid, item_id::VARCHAR AS i FROM hit) GROUP BY uid)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM dw LEFT JOIN pos USING (uid) LEFT JOIN its USING (uid)
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated, coalesce(near, '') AS near
+FROM dw LEFT JOIN pos USING (uid) LEFT JOIN its USING (uid) LEFT JOIN nrs USING (uid)
 """

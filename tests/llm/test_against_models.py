@@ -434,7 +434,31 @@ def test_decontamination_in_blocks(spark):
 
 
 def test_proximity_matches(spark):
-    item = "one two three four five six seven eight nine ten"
-    d = spark.createDataFrame([(1, item.replace("four", "for")), (2, item), (3, "ten nine eight"), (4, item[4:]), (5, "four")], "doc_id long, text string")
-    got = {x["doc_id"]: x for x in decontamination.find_matches(d, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()}
-    assert len(got[1]["near"]) == 1 and not got[1]["hits"] and len(got[2]["hits"]) == 1 and not got[2]["near"] and not got[3]["near"]
+    """All places where 80 of 100 words agree, also with the rarest words replaced, or words that occur nowhere else."""
+    r = random.Random(8)
+    word = lambda: r.choice(["a", "b", "c", "d"]) if r.random() < 0.5 else f"w{r.randrange(60)}"
+    items = [[word() for _ in range(r.choice([3, 5, 9, 10, 14, 25]))] for _ in range(25)]
+    items[0][2] = "nowhere"
+    docs = []
+    for _ in range(150):
+        text = [word() for _ in range(r.randint(0, 15))]
+        for _ in range(r.randint(0, 3)):
+            part = list(r.choice(items))
+            for _ in range(r.randint(0, 3)):
+                part[r.randrange(len(part))] = r.choice([word(), f"new{r.random()}".replace(".", "")])
+            text += part + [word() for _ in range(r.randint(0, 4))]
+        docs.append(text)
+    windows = {tuple(v[k : k + 10]) for v in items for k in range(max(1, len(v) - 9))}
+    want = {}
+    for i, w in enumerate(docs):
+        near = set()
+        for v in windows:
+            for k in range(len(w)):
+                same = sum(a == b for a, b in zip(v, w[k:], strict=False))
+                if 100 * same >= 80 * len(v) and same < len(v):
+                    near.add((k, len(v)))
+        want[i] = sorted(near)
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    b = spark.createDataFrame([(i, " ".join(v)) for i, v in enumerate(items)], "item_id long, text string")
+    got = {x["doc_id"]: [(s["start"], s["n"]) for s in x["near"]] for x in decontamination.find_matches(d, b, block=90).collect()}
+    assert got == want and sum(map(len, want.values())) > 50
