@@ -1,7 +1,7 @@
 """Benchmark decontamination: a positional inverted index over the corpus, in DataFrame operations.
 
 1. Benchmark items become windows of 10 consecutive words (a shorter item is one window).
-2. One pass over the corpus counts in how many documents each benchmark word occurs.
+2. One pass over the corpus counts how long each benchmark word's list of postings is.
 3. A match of a window may differ from it in at most 1 - NEAR of its places. Words that the corpus lacks differ in any case; of the others, the
    rarest are looked up, one more than may still differ, so that a match has one of them at its place.
 4. A second pass stores the postings (document, position, the words around) of the looked-up words only.
@@ -14,7 +14,7 @@ bounded number of windows, which alone (not the items that hold them) are broadc
 
 Edge cases: null text has no words, null or wordless items no windows; repeated rows are answered each; an empty benchmark
 hits nothing; words of the same count are looked up from the left; a place that one window hits and another one nearly is in both lists; a text
-may be of any length, its postings are a list of its row; columns other than doc_id and text are ignored.
+may be of any length, a posting is a row; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -57,41 +57,41 @@ def _lookups(wins: DataFrame, df: DataFrame) -> DataFrame:
     return w.select("wid", "win", F.explode(F.slice("r", F.lit(1), F.col("many"))).alias("p")).select("wid", "win", "p.word", "p.o")
 
 
-def _postings(docs: DataFrame, terms: list[str], reach: int) -> DataFrame:
-    """docs with n_words and post: the places of the terms, each with the words up to reach before and after."""
+def _is_one_of(column: str, rows: DataFrame) -> Column:
+    """Whether the column is among the words of rows, which become literals. Words hold neither quotes nor backslashes."""
+    found = [r[0] for r in rows.distinct().collect()]  # at most BLOCK * WINDOW words
+    return F.expr(f"{column} IN ({', '.join(f"'{w}'" for w in found)})") if found else F.lit(False)
+
+
+def _postings(docs: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
+    """(uid, doc_id, pos, word, near): the places of the terms, each with the words up to reach before and after, joined.
+
+    Each row of docs has one more entry, of the empty word, after its last one.
+    """
     t = docs.select("uid", "doc_id", _tokens(F.col("text")).alias("w"))
-    found = F.transform(
-        "w",
-        lambda x, i: F.when(
-            x.isin(terms),
-            F.struct(i.alias("pos"), x.alias("word"), F.slice("w", F.greatest(i - reach, F.lit(0)) + 1, 2 * reach + 1).alias("near")),
-        ),
-    )
-    return t.select("uid", "doc_id", F.size("w").cast("long").alias("n_words"), F.filter(found, lambda x: x.isNotNull()).alias("post"))
+    t = t.select("uid", "doc_id", "w", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "word")).where((F.col("word") == "") | _is_one_of("word", terms))
+    around = F.when(F.col("word") != "", F.array_join(F.slice("w", F.greatest(F.col("pos") - reach, F.lit(0)) + 1, 2 * reach + 1), " "))
+    return t.select("uid", "doc_id", "pos", "word", around.alias("near"))
 
 
 def _block(docs: DataFrame, wins: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     """The staged postings table for a block of windows, and (uid, wid, start, n, same) of its matches."""
     spark = docs.sparkSession
-    vocabulary = [r[0] for r in wins.select(F.explode("win")).distinct().collect()]  # at most BLOCK * size words
-    kept = F.filter(_tokens(F.col("text")), lambda x: x.isin(vocabulary))
-    df = docs.select(F.explode(F.array_distinct(kept)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    rows = [(r["word"], r["n"]) for r in df.collect()]  # no more rows than the vocabulary has
+    places = docs.select(F.explode(_tokens(F.col("text"))).alias("word")).where(_is_one_of("word", wins.select(F.explode("win"))))
+    lists = places.groupBy("word").agg(F.count("*").alias("n"))
+    rows = [(r["word"], r["n"]) for r in lists.collect()]  # no more rows than the windows have words
     wins = stage(_lookups(wins, spark.createDataFrame(rows, "word string, n long")), "lookups")
-    terms = [r[0] for r in wins.select("word").distinct().collect()]
     reach = size - 1
-    table = stage(_postings(docs, terms, reach), "postings")
-    post = table.select("uid", F.explode("post").alias("p")).select("uid", "p.*")
-    at = F.least(F.col("pos"), F.lit(reach))  # of the word among the words around
-    start = at - F.col("o")  # of the window among them
-    same = F.aggregate(F.zip_with("win", F.slice("near", F.greatest(start, F.lit(0)) + 1, F.size("win")), lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
+    table = stage(_postings(docs, wins.select("word"), reach), "postings")
+    start = F.least(F.col("pos"), F.lit(reach)) - F.col("o")  # of the window among the words around
+    same = sum((F.when(F.get("near", F.col("first") + i) == F.get("win", F.lit(i)), 1).otherwise(0) for i in range(size)), F.lit(0))
     found = (
-        post.join(F.broadcast(wins), "word")
-        .where(start >= 0)
-        .select("uid", "wid", (F.col("pos") - F.col("o")).alias("start"), F.size("win").alias("n"), same.alias("same"))
+        table.where("word <> ''").select("uid", "pos", "word", F.split("near", " ").alias("near")).join(F.broadcast(wins), "word")
+        .select("uid", "wid", (F.col("pos") - F.col("o")).alias("start"), F.size("win").alias("n"), "near", "win", start.alias("first")).where("first >= 0")
+        .select("uid", "wid", "start", "n", same.alias("same"))
         .where(100 * F.col("same") >= NEAR * F.col("n"))
     )
-    return table, found
+    return table, found.distinct()
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = BLOCK) -> DataFrame:
@@ -117,7 +117,8 @@ def _matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: i
     per = rows.groupBy("uid").agg(F.array_sort(F.collect_set(F.when(hit, span))).alias("hits"), F.array_sort(F.collect_set(F.when(~hit, span))).alias("near"))
     held = rows.where(hit).select("uid", "wid").distinct().join(items, "wid").groupBy("uid").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     spans, ids = F.array().cast("array<struct<start:int,n:int>>"), F.array().cast("array<string>")
-    return done[0][0].select("uid", "doc_id", "n_words").join(per.join(held, "uid", "left"), "uid", "left").select(
+    ends = done[0][0].where("word = ''").select("uid", "doc_id", F.col("pos").cast("long").alias("n_words"))
+    return ends.join(per.join(held, "uid", "left"), "uid", "left").select(
         "uid", "doc_id", "n_words", F.coalesce("hits", spans).alias("hits"), F.coalesce("near", spans).alias("near"), F.coalesce("items", ids).alias("items")
     )
 
