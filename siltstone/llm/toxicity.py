@@ -164,7 +164,8 @@ def sample_texts(docs: DataFrame, rows: list[tuple]) -> DataFrame:
     """(doc_id, text, label, grp, half): the sample's texts, staged. Near copies fall into the same half, 0 or 1."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     ids = docs.sparkSession.createDataFrame(rows, f"doc_id {kind}, label int")  # at most 2 * SAMPLE rows
-    both = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id").withColumn("grp", copy_group("text"))
+    both = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
+    both = both.groupBy("doc_id", "label").agg(F.min("text").alias("text")).withColumn("grp", copy_group("text"))  # a repeated id is one document
     return stage(both.withColumn("half", F.pmod(F.xxhash64("grp"), F.lit(2)).cast("int")), "labelled")
 
 
