@@ -8,8 +8,8 @@ It is rejected (a column of its own) if its distance, 1 - cosine, is above what
 documents have; score is the softmax of the languages' best cosines.
 
 Edge cases: null texts and texts without a letter are `und` with score 0; rows with null lang or null id are predicted, rows
-with null lang are not learned from; without any training document all are `und`; repeated rows are answered each; an empty table
-gives an empty result; columns other than doc_id, text and lang are ignored.
+with null lang are not learned from; without any training document all are `und`; a tie (equal cosines) goes to the language whose name
+is first; a very long text is counted whole, in one vector of fixed width; repeated rows are answered each; an empty table gives an empty result; columns other than doc_id, text and lang are ignored.
 """
 
 from __future__ import annotations
@@ -118,7 +118,7 @@ def fit(training: DataFrame):
     share = F.lit(0.0)
     for lang, n in sorted(langs.items()):
         share = F.when(F.col("lang") == lang, min(1.0, size / n)).otherwise(share)
-    picked = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_000)) / 1_000_000 < share
+    picked = F.pmod(F.xxhash64("row"), F.lit(1_000_000)) / 1_000_000 < share  # by row, as ids may be null or repeated
 
     def run(batches):
         for b in batches:
@@ -128,7 +128,7 @@ def fit(training: DataFrame):
                 yield pd.DataFrame({"lang": b["lang"].iloc[done : done + len(part)].to_numpy(), "v": [x.tobytes() for x in v]})
                 done += len(part)
 
-    rows = training.select("text", "lang", "doc_id").where(picked).select("text", "lang").mapInPandas(run, "lang string, v binary").collect()
+    rows = training.select("text", "lang", F.monotonically_increasing_id().alias("row")).where(picked).select("text", "lang").mapInPandas(run, "lang string, v binary").collect()
     centroids, names, far = [], [], {}
     for lang in sorted(langs):
         own = sorted(r["v"] for r in rows if r["lang"] == lang)
