@@ -9,11 +9,15 @@ occurrence with a cue, if any; half of what it hears is this one's message and h
 cue are no more evidence than one. Loopy sum-product message passing, until a document's messages stop changing, gives each token's label
 probabilities, which so agree across the document; a token at CERTAIN or more that no base span touches becomes a span of its own.
 
-Weights are learned by pseudo-likelihood from those of SAMPLE documents (expected: a share of all by a hash of their
-texts) that have 1 to SAMPLE_TOKENS such tokens; base spans, long mixed tokens after a cue such as `token =`, and tokens equal to one of these in the document, are their labels.
-
-Edge cases: null and empty texts have no spans; repeated rows are answered each; an empty table gives an empty result (and
-no weights); columns other than doc_id and text are ignored. Patterns are matched in time linear in a text's length.
+Weights are learned by pseudo-likelihood from SAMPLE rows (expected: a share of all by a hash of the row's number); of a row
+with more than SAMPLE_TOKENS such tokens, a stretch of that many at a place by a hash of the text. Base spans, long mixed tokens after a cue such as
+`token =`, and tokens equal to one of these in the document, are their labels. Tokens without a digit or an @ are no nodes: a password of letters
+only is not found.
+
+Edge cases: null and empty texts have no spans; a token whose likeliest labels tie takes the first in the order of LABELS; texts of any length are
+worked on whole, those of many tokens by themselves, with some hundred bytes for each token; repeated rows are answered each; an
+empty table gives an empty result (and no weights); columns other than doc_id and text are ignored. Patterns are matched in time linear
+in a text's length.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from __future__ import annotations
 import pickle
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -36,6 +41,8 @@ CERTAIN = 0.9
 WIDTH = 1 << 12  # hashed features
 #: Messages that change by less have stopped; after each PATIENCE rounds they are damped more, so that cycles stop too.
 STILL, PATIENCE = 1e-4, 100
+#: Tokens of several texts, and edges of one, that are worked on at once.
+TOGETHER, EDGES = 20_000, 1 << 17
 
 LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -119,11 +126,12 @@ def tokens(text: str) -> list[tuple[int, int]]:
 def graph(text: str, base: list[tuple[int, int, int]]):
     """Tokens, their feature ids, weak labels (both with those of hubs after them), chain edges, edges from hubs to equal tokens, edges to similar tokens."""
     spans = tokens(text)
-    feats, labels, chain, equal, similar = [], [], [], [], []
+    feats, labels, chain, equal, similar = array("H"), array("b"), array("q"), array("q"), array("q")
     places: dict = {}
     near: dict = {}
     known: dict = {}
     keys: list = []
+    width = 0
     b = 0
     for i, (s, e) in enumerate(spans):
         core = text[s:e]
@@ -136,47 +144,60 @@ def graph(text: str, base: list[tuple[int, int, int]]):
             f"cue={cue}", f"mixed={mixed}", f"cue,mixed={cue},{mixed and len(core) >= 16}", f"plus={plus}",
             f"luhn={core.isdigit() and 14 <= digits <= 19 and luhn(core)}", f"octets={len(octets) == 4 and all(p.isdigit() and len(p) < 4 and int(p) < 256 for p in octets)}",
         ]
-        feats.append([zlib.crc32(n.encode()) % WIDTH for n in names])
+        feats.extend([zlib.crc32(n.encode()) % WIDTH for n in names])
+        width = len(names)
         while b < len(base) and base[b][2] <= s:
             b += 1
         kind = next((k for a, k, z in base[b : b + 4] if a < e and z > s), None)
         labels.append(1 + kind if kind is not None else 5 if cue and mixed and len(core) >= 16 else 0)
         if i and s - spans[i - 1][1] <= 12:
-            chain.append((i - 1, i))
+            chain.extend((i - 1, i))
         key = core.lower()
         like = key.split("@")[1] if "@" in key else key[:8] if len(key) >= 12 else None
         if key not in places and like is not None and like in near:
-            similar.append((near[like], i))
+            similar.extend((near[like], i))
         if labels[i]:
             known[key] = labels[i]
         keys.append(key)
-        places.setdefault(key, []).append((not cue, not plus, i))
+        best = (not cue, not plus, i)
+        held = places.get(key)
+        if held is None:
+            places[key] = best
+        else:  # equal tokens: the best one and, in order, all
+            if isinstance(held, tuple):
+                held = places[key] = [held, array("q", [held[2]])]
+            held[0] = min(held[0], best)
+            held[1].append(i)
         if like is not None:
             near[like] = i
-    labels = [k or known.get(key, 0) for k, key in zip(labels, keys, strict=True)]  # equal tokens have one weak label
-    for key, at in places.items():
-        if len(at) > 1:
-            equal += [(len(feats), i) for _, _, i in sorted(at)]  # the one with a cue first
-            feats.append(feats[min(at)[2]])
+    for i, key in enumerate(keys):
+        labels[i] = labels[i] or known.get(key, 0)  # equal tokens have one weak label
+    nodes = len(spans)
+    for key, held in places.items():
+        if isinstance(held, list):
+            (_, _, first), at = held
+            for i in (first, *(i for i in at if i != first)):  # the one with a cue first
+                equal.extend((nodes, i))
+            feats.extend(feats[first * width : (first + 1) * width])
             labels.append(known.get(key, 0))
-    return spans, feats, labels, chain, equal, similar
+            nodes += 1
+    pairs = [np.array(x, np.int64).reshape(-1, 2) for x in (chain, equal, similar)]
+    return np.array(spans, np.int64).reshape(-1, 2), np.array(feats, np.uint16).reshape(nodes, -1 if nodes else 0), np.array(labels, np.int8), *pairs
 
 
 def _stack(graphs):
     """Many documents as one graph: features, labels, edges by type, and what a message to the first end of an edge weighs."""
-    offset, feats, labels, edges = 0, [], [], ([], [], [])
-    for g in graphs:
-        feats += g[1]
-        labels += g[2]
-        for to, own in zip(edges, g[3:], strict=True):
-            to += [(a + offset, b + offset) for a, b in own]
-        offset += len(g[1])
-    edges = [np.array(e, np.int64).reshape(-1, 2) for e in edges]
+    offsets = np.cumsum([0, *[len(g[2]) for g in graphs]])
+    offset = int(offsets[-1])
+    some = [g for g in graphs if len(g[2])]
+    feats = np.concatenate([g[1] for g in some]) if some else np.zeros((0, 0), np.uint16)
+    labels = np.concatenate([np.zeros(0, np.int64), *[g[2] for g in some]])
+    edges = [np.concatenate([np.zeros((0, 2), np.int64), *[g[3 + t] + o for g, o in zip(graphs, offsets, strict=False)]]) for t in range(3)]
     shares = [np.ones(len(e)) for e in edges]
     hub = edges[1][:, 0]
     shares[1] /= 2 * np.maximum(1, np.bincount(hub, minlength=offset)[hub] - 1)
     shares[1][np.diff(hub, prepend=-1) != 0] = 0.5
-    return np.array(feats, np.int64).reshape(offset, len(feats[0]) if feats else 0), np.array(labels, np.int64), edges, shares
+    return feats, labels, edges, shares
 
 
 def _softmax(x):
@@ -211,45 +232,84 @@ def train(graphs, steps: int = 200, rate: float = 0.5, decay: float = 1e-3):
     return node, pair
 
 
+def _local(node: np.ndarray, feats: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(feats), len(LABELS)))
+    for column in feats.T:
+        out += node[column]
+    return out
+
+
+class _Edges:
+    """Edges of one type with their messages forth and back, and the places of both in the whole graph."""
+
+    def __init__(self, ends, share, doc, pair, place=None, forth=None, back=None) -> None:
+        self.ends, self.share, self.doc, self.pair = ends, share, doc, pair
+        self.place = np.arange(len(ends)) if place is None else place
+        self.forth = np.zeros((len(ends), len(LABELS)), np.float32) if forth is None else forth
+        self.back = np.zeros((len(ends), len(LABELS)), np.float32) if back is None else back
+
+    def part(self, rows: np.ndarray) -> _Edges:
+        return _Edges(self.ends[rows], self.share[rows], self.doc[rows], self.pair, self.place[rows], self.forth[rows], self.back[rows])
+
+    def add_to(self, belief: np.ndarray) -> None:
+        for j in range(len(LABELS)):
+            belief[:, j] += np.bincount(self.ends[:, 1], self.forth[:, j], len(belief))
+            belief[:, j] += np.bincount(self.ends[:, 0], self.share * self.back[:, j], len(belief))
+
+    def step(self, belief: np.ndarray, damp: float, moved: np.ndarray) -> None:
+        """One round of messages; moved takes the greatest change of each document."""
+
+        def sent(out: np.ndarray, table: np.ndarray) -> np.ndarray:
+            new = np.log(np.exp(out - out.max(1, keepdims=True)) @ table)
+            return new - new.max(1, keepdims=True)
+
+        table = np.exp(self.pair)
+        for a in range(0, len(self.ends), EDGES):
+            at = slice(a, a + EDGES)
+            ends, forth, back = self.ends[at], self.forth[at], self.back[at]
+            one = damp * (sent(belief[ends[:, 0]] - self.share[at, None] * back, table) - forth)
+            two = damp * (sent(belief[ends[:, 1]] - forth, table.T) - back)
+            forth += one.astype(np.float32)
+            back += two.astype(np.float32)
+            np.maximum.at(moved, self.doc[at], np.maximum(np.abs(one).max(1), np.abs(two).max(1)))
+
+
 def marginals(graphs, weights) -> np.ndarray:
     """Label probabilities of all tokens by loopy sum-product message passing; a document's goes on until its messages have stopped."""
     node, pair = weights
     feats, _, edges, shares = _stack(graphs)
-    local = node[feats].sum(1) if len(feats) else np.zeros((0, len(LABELS)))
-    is_token = np.concatenate([np.zeros(0, bool), *[np.arange(len(g[1])) < len(g[0]) for g in graphs]])
-    ends = np.concatenate([*edges, *[e[:, ::-1] for e in edges]])
-    if not len(ends):
-        return _softmax(local[is_token])
-    table = np.concatenate([np.broadcast_to(p, (len(e), *p.shape)) for e, p in zip(edges, pair, strict=True)])
-    table = np.concatenate([table, table.transpose(0, 2, 1)])  # [edge, label of sender, label of receiver]
-    weight = np.concatenate([np.ones(len(ends) // 2), *shares])[:, None]
-    of = np.repeat(np.arange(len(graphs)), [len(g[1]) for g in graphs])[ends[:, 0]]
-    message, live = np.zeros((len(ends), len(LABELS))), np.arange(len(ends))
-    rounds = 0
-    while len(live):
-        to, back = ends[live], np.concatenate([np.arange(len(live) // 2, len(live)), np.arange(len(live) // 2)])
-        heard, held, own, doc = weight[live], table[live], message[live], of[live]
-        while True:
-            belief = local.copy()
-            np.add.at(belief, to[:, 1], heard * own)
-            out = (belief[to[:, 0]] - (heard * own)[back])[:, :, None] + held
-            top = out.max(1)
-            new = top + np.log(np.exp(out - top[:, None]).sum(1))
-            step = 0.5 ** (1 + rounds // PATIENCE) * (new - new.max(1, keepdims=True) - own)
-            own = own + step
-            rounds += 1
-            moved = np.zeros(len(graphs))
-            np.maximum.at(moved, doc, np.abs(step).max(1))
-            still = moved[doc] < STILL
-            if still.sum() * 4 >= len(live):
-                break
-        message[live] = own
-        live = live[~still]
+    local = _local(node, feats) if len(feats) else np.zeros((0, len(LABELS)))
+    is_token = np.concatenate([np.zeros(0, bool), *[np.arange(len(g[2])) < len(g[0]) for g in graphs]])
+    of = np.repeat(np.arange(len(graphs)), [len(g[2]) for g in graphs])
+    done = [_Edges(e, s, of[e[:, 0]], p) for e, s, p in zip(edges, shares, pair, strict=True)]
+    live, rounds = [d.part(np.arange(len(d.ends))) for d in done], 0
+    while any(len(x.ends) for x in live):
+        belief, moved = local.copy(), np.zeros(len(graphs))
+        for x in live:
+            x.add_to(belief)
+        for x in live:
+            x.step(belief, 0.5 ** (1 + rounds // PATIENCE), moved)
+        rounds += 1
+        still = [moved[x.doc] < STILL for x in live]
+        if 4 * sum(int(s.sum()) for s in still) >= sum(len(s) for s in still):
+            for x, d, s in zip(live, done, still, strict=True):
+                d.forth[x.place[s]], d.back[x.place[s]] = x.forth[s], x.back[s]
+            live = [x.part(np.flatnonzero(~s)) for x, s in zip(live, still, strict=True)]
     belief = local.copy()
-    np.add.at(belief, ends[:, 1], weight * message)
+    for d in done:
+        d.add_to(belief)
     return _softmax(belief[is_token])
 
 
+def stretch(text: str) -> str:
+    """The text, or its part of SAMPLE_TOKENS tokens at a place by hash, with what stands before the first."""
+    held = tokens(text)
+    if len(held) <= SAMPLE_TOKENS:
+        return text
+    a = zlib.crc32(text.encode("utf-8", "surrogatepass")) % (len(held) - SAMPLE_TOKENS + 1)
+    return text[max(held[a - 1][1] if a else 0, held[a][0] - 24) : held[a + SAMPLE_TOKENS - 1][1]]
+
+
 def fit(docs: DataFrame):
     """Weights from a sample of the documents."""
 
@@ -258,41 +318,53 @@ def fit(docs: DataFrame):
             rows = []
             for text in b["text"]:
                 if TOKEN.search(text):
+                    text = stretch(text)
                     g = graph(text, base_spans(text))
-                    if 0 < len(g[0]) <= SAMPLE_TOKENS:
+                    if len(g[0]):
                         rows.append((zlib.crc32(text.encode("utf-8", "surrogatepass")), pickle.dumps(g)))
             yield pd.DataFrame(rows, columns=["h", "g"])
 
     share = min(1.0, SAMPLE / max(1, docs.count()))
-    sample = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000 < share).where(F.col("text").isNotNull())
+    rows = docs.select("text", F.monotonically_increasing_id().alias("row"))
+    sample = rows.where(F.pmod(F.xxhash64("row"), F.lit(1_000_000)) / 1_000_000 < share).where(F.col("text").isNotNull()).select("text")
     rows = sorted((r["h"], bytes(r["g"])) for r in sample.mapInPandas(run, "h long, g binary").collect())
     return train([pickle.loads(g) for _, g in rows])
 
 
-def find(texts, weights, together: int = 500):
+def find(texts, weights):
     """For each text (start, index in KINDS, end, from the base) sorted by start and kind."""
-    out = []
-    for first in range(0, len(texts), together):
-        part = [t or "" for t in texts[first : first + together]]
-        bases = [base_spans(t) for t in part]
-        graphs = [graph(t, b) if TOKEN.search(t) else ([], [], [], [], [], []) for t, b in zip(part, bases, strict=True)]
-        prob = marginals(graphs, weights)
-        offset = 0
-        for text, base, g in zip(part, bases, graphs, strict=True):
-            found = [(*b, True) for b in base]
-            best = prob[offset : offset + len(g[0])]
-            offset += len(g[0])
-            b = 0
-            for (s, e), p in zip(g[0], best, strict=True):
-                while b < len(base) and base[b][2] <= s:
-                    b += 1
-                k = int(p.argmax())
-                if k and p[k] >= CERTAIN and not any(a < e and z > s for a, _, z in base[b : b + 4]):
-                    joins = found and not found[-1][3] and found[-1][1] == k - 1 and not text[found[-1][2] : s].strip()
-                    if joins:  # parts of one number
-                        s = found.pop()[0]
-                    found.append((s, k - 1, e, False))
-            out.append(sorted(found))
+    out, held, size = [], [], 0
+    for text in texts:
+        text = text or ""
+        base = base_spans(text)
+        g = graph(text, base) if TOKEN.search(text) else graph("", [])
+        if held and size + len(g[0]) > TOGETHER:
+            out += _found(held, weights)
+            held, size = [], 0
+        held.append((text, base, g))
+        size += len(g[0])
+    return out + _found(held, weights)
+
+
+def _found(held, weights):
+    out, offset = [], 0
+    prob = marginals([g for _, _, g in held], weights)
+    for text, base, g in held:
+        found = [(*b, True) for b in base]
+        best = prob[offset : offset + len(g[0])]
+        offset += len(g[0])
+        kinds = best.argmax(1)
+        b = 0
+        for i in np.flatnonzero((kinds > 0) & (best.max(1) >= CERTAIN)):
+            (s, e), k = g[0][i].tolist(), int(kinds[i])
+            while b < len(base) and base[b][2] <= s:
+                b += 1
+            if not any(a < e and z > s for a, _, z in base[b : b + 4]):
+                joins = found and not found[-1][3] and found[-1][1] == k - 1 and not text[found[-1][2] : s].strip()
+                if joins:  # parts of one number
+                    s = found.pop()[0]
+                found.append((s, k - 1, e, False))
+        out.append(sorted(found))
     return out
 
 

@@ -208,8 +208,30 @@ def test_dictionaries_tell_texts_apart():
     import zstandard
 
     good, bad = (zstandard.train_dictionary(4096, make(w.split(), 300)).as_bytes() for w in ("alpha beta gamma delta epsilon zeta", "one two three four five six seven"))
-    sizes = compression.Sizes(good, bad)
-    assert sizes("alpha gamma beta zeta " * 3)[0] > 0 > sizes("one three two seven " * 3)[0] and sizes(None) == [0.0] * compression.COLUMNS
+    difference = compression.Difference(good, bad)
+    assert difference("alpha gamma beta zeta " * 3) > 0 > difference("one three two seven " * 3) and difference(None) == difference("") == 0
+
+
+def test_compression_against_brute_force(spark):
+    """The scores are those of the dictionaries' own library, calibrated by a plain isotonic regression; ties score alike."""
+    import zstandard
+
+    r = random.Random(4)
+    make = lambda words: " ".join(f"{w}{r.randrange(30)}" for w in r.choices(words.split(), k=r.randint(5, 60)))
+    rows = [(i, make("alpha beta gamma delta epsilon zeta") if i % 3 else make("one two three four five six seven"), int(i % 3 > 0)) for i in range(900)]
+    docs, labels = spark.createDataFrame([x[:2] for x in rows] + [(900, rows[0][1])], "doc_id long, text string"), spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    good, bad, calibration = compression.fit(docs, labels, compression.F.lit(True))
+    size = lambda t, d: len(zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False, write_dict_id=False, dict_data=zstandard.ZstdCompressionDict(d)).compress(t.encode()))
+    got = {x["doc_id"]: x["score"] for x in docs.select("doc_id", compression.scorer((good, bad, calibration))("text").alias("score")).collect()}
+    numbers = {i: (size(t, bad) - size(t, good)) / len(t.encode()) for i, t, _ in rows}
+    assert got[0] == got[900]
+    for i, x in numbers.items():
+        assert math.isclose(got[i], 0.99 * float(np.interp(x, calibration.at, calibration.value)) + 0.01 / (1 + math.exp(-x / calibration.scale)), rel_tol=1e-9)
+    order = sorted(numbers, key=numbers.get)
+    assert all(got[a] <= got[b] for a, b in zip(order, order[1:], strict=False))
+    assert np.mean([(got[i] > 0.5) == q for i, _, q in rows]) > 0.98
+    held, y = np.array([0.3, 0.1, 0.2, 0.5, 0.4]), np.array([0.0, 0.0, 1.0, 1.0, 1.0])
+    assert boosting.isotonic(held, y, np.ones(5))[1].tolist() == [0, 0.5, 1, 1] or boosting.isotonic(held, y, np.ones(5))[1].tolist() == [0, 0.5, 1]
 
 
 # op6
@@ -408,6 +430,33 @@ def test_repeated_tokens_hear_of_a_distant_cue():
     assert found == [pii.find([t], weights)[0] for t in texts]
 
 
+def test_marginals_on_a_chain_are_exact():
+    """Without loops, messages give the sums over all labellings."""
+    import itertools
+
+    r = np.random.default_rng(5)
+    weights = r.normal(size=(pii.WIDTH, 6)), r.normal(size=(3, 6, 6))
+    g = pii.graph("a1 b22 c333 d4444", [])
+    assert len(g[3]) == 3 and not len(g[4]) and not len(g[5])
+    total = np.zeros((4, 6))
+    for labels in itertools.product(range(6), repeat=4):
+        score = sum(weights[0][g[1][i]].sum(0)[k] for i, k in enumerate(labels)) + sum(weights[1][0][labels[a], labels[b]] for a, b in g[3])
+        for i, k in enumerate(labels):
+            total[i, k] += np.exp(score)
+    assert np.allclose(pii.marginals([g], weights), total / total.sum(1, keepdims=True), atol=1e-3)
+
+
+def test_a_text_of_many_numbers(spark):
+    """Learned from by a stretch, and worked on whole."""
+    r = random.Random(9)
+    text = " ".join(f"{r.randrange(10**9)}" for _ in range(60_000)) + " mail me@example.org"
+    g = pii.graph(pii.stretch(text), [])
+    assert 0 < len(g[0]) <= pii.SAMPLE_TOKENS
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "no 1")], "doc_id long, text string")
+    rows = {x["doc_id"]: x for x in pii.query(docs).collect()}
+    assert rows[1]["n_email"] == rows[2]["n_email"] == 1 and rows[1]["spans"] == rows[2]["spans"] and rows[3]["spans"] == ""
+
+
 # op10
 
 
