@@ -1,21 +1,24 @@
 """License scans: a positional rare-token index over licence notices, in DataFrame operations.
 
-1. The notices below become postings (word, template, offset).
+1. The notices (TEMPLATES, or a table of the caller's) become postings (word, template, offset).
 2. One pass over the corpus counts the documents that hold each notice word; idf = log((n + 1) / (df + 1)).
-3. A template can only match where the word of highest idf of its mandatory phrases stands. Each file looks up these
-   words; a place of one votes for (template, place - offset).
+3. A template matches only where all its mandatory phrases stand. So of a file's words, those are looked up that have the highest idf of
+   some template's mandatory words, all of which the file holds; a place of one votes for (template, place - offset).
 4. There the template's other postings are intersected with the file's words by relative position. The score is the share of
    the template's idf weight that stands at its place; the template is reported at MATCH or more, if all its mandatory key
    phrases stand at their places.
 
-The notice table is a constant of this module (some 200 words), so what is broadcast never grows.
+The notices are literals of the plan, bounded by their table (some 200 words here) whatever the corpus holds.
 
-Edge cases: null and empty texts have no words, labels are empty and score 0; repeated rows are answered each; an
+Edge cases: null and empty texts have no words, labels are empty and score 0; of words with equal idf a template's first is looked up; of
+equal scores all are reported, the greatest label first; texts of any length are searched whole; repeated rows are answered each; an
 empty table gives an empty result; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +46,16 @@ TEMPLATES = {
 #: Phrases that the contract counts, with their labels.
 BASE = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
 MATCH = 0.75
-#: Every mandatory and every base phrase holds one of these words, so files without any have nothing to find.
-ANCHORS = ("license", "cc", "redistribution", "permission", "rights", "unencumbered")
 
 
-def _postings() -> list[tuple[str, str, int]]:
-    return [(w, label, i) for label, (notice, _) in TEMPLATES.items() for i, w in enumerate(notice.split())]
+def anchors(templates: dict, counts: dict[str, int]) -> list[str]:
+    """Few and rare words of which every base phrase, and the mandatory words of every template, hold one: files without any have nothing to find."""
+    rest = [set(p) for p in BASE] + [{w for key in keys for w in key.split()} for _, keys in templates.values()]
+    found = []
+    while rest:
+        found.append(max(sorted(set().union(*rest)), key=lambda w: sum(w in p for p in rest) / (counts.get(w, 0) + 1)))
+        rest = [p for p in rest if found[-1] not in p]
+    return found
 
 
 def _places(notice: str, phrase: str) -> range:
@@ -62,33 +69,28 @@ def _tokens():
     return words(lower_ascii(F.col("text")), MARKS)
 
 
-def document_counts(docs: DataFrame) -> tuple[int, dict[str, int]]:
+def document_counts(docs: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
     """How many documents there are, and how many hold each notice word."""
-    vocabulary = sorted({w for w, _, _ in _postings()})
     held = F.array_distinct(F.filter(_tokens(), lambda x: x.isin(vocabulary)))
     rows = docs.select(F.explode(F.concat(held, F.array(F.lit("")))).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()
     counts = {r["word"]: r["n"] for r in rows}
     return counts.pop("", 0), counts
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, templates: dict = TEMPLATES) -> DataFrame:
     """(doc_id, n_words, base: places of base phrases, found: array of (label, score, start), best first)."""
-    spark = docs.sparkSession
-    n, counts = document_counts(docs.select("text"))
-    idf = F.log((F.lit(n) + 1) / (F.col("df") + 1)) + 1e-6
-    post = spark.createDataFrame(
-        [(w, counts.get(w, 0), label, o) for w, label, o in _postings()], "word string, df long, label string, o int"
-    ).withColumn("idf", idf)
-    weights = {(r["label"], r["o"]): (r["word"], r["idf"]) for r in post.collect()}
-    totals = {label: sum(v for (x, _), (_, v) in weights.items() if x == label) for label in TEMPLATES}
-    vocabulary = sorted({w for w, _ in weights.values()})
+    vocabulary = sorted({w for notice, _ in templates.values() for w in notice.split()} | {w for p in BASE for w in p})
+    n, counts = document_counts(docs.select("text"), vocabulary)
+    idf = {w: math.log((n + 1) / (counts.get(w, 0) + 1)) + 1e-6 for w in vocabulary}
+    weights = {(name, o): (w, idf[w]) for name, (notice, _) in templates.items() for o, w in enumerate(notice.split())}
+    totals = {name: sum(idf[w] for w in notice.split()) for name, (notice, _) in templates.items()}
     rarest: dict[str, list[tuple[str, int]]] = {}
-    for name, (notice, keys) in TEMPLATES.items():
+    for name, (notice, keys) in templates.items():
         o = max((i for key in keys for i in _places(notice, key)), key=lambda i: (weights[(name, i)][1], -i))
         rarest.setdefault(weights[(name, o)][0], []).append((name, o))
 
     t = docs.select("doc_id", F.col("text"))
-    likely = F.coalesce(F.col("text").rlike(r"(?i)(?<![^\x00-\x2F\x3A-\x60\x7B-\x7F])(" + "|".join(ANCHORS) + r")(?![^\x00-\x2F\x3A-\x60\x7B-\x7F])"), F.lit(False))
+    likely = F.coalesce(F.col("text").rlike(r"(?i)(?<![^\x00-\x2F\x3A-\x60\x7B-\x7F])(" + "|".join(anchors(templates, counts)) + r")(?![^\x00-\x2F\x3A-\x60\x7B-\x7F])"), F.lit(False))
     # Words are counted in all texts; only texts with an anchor word are looked into.
     t = t.select("doc_id", "text", likely.alias("likely")).select(
         "doc_id",
@@ -108,7 +110,7 @@ def scan(docs: DataFrame) -> DataFrame:
     def score(c):
         """The share of the template's weight that stands where it should, or null without its key phrases."""
         value = F.lit(None).cast("double")
-        for name, (notice, keys) in TEMPLATES.items():
+        for name, (notice, keys) in templates.items():
             tokens = notice.split()
             same = F.lit(0.0)
             for o, word in enumerate(tokens):

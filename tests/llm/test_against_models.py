@@ -312,6 +312,37 @@ def test_licenses(spark):
     assert got[7]["labels"] == "apache,apache-2.0,gpl,lgpl"
 
 
+def test_licenses_against_brute_force(spark):
+    """All templates at all places of texts made of notices, whole, cut and with words replaced."""
+    r = random.Random(12)
+    notices = [t.split() for t, _ in licenses.TEMPLATES.values()]
+    texts = []
+    for _ in range(200):
+        text = []
+        for _ in range(r.randint(0, 3)):
+            part = list(r.choice(notices))
+            for _ in range(r.randint(0, 2)):
+                part[r.randrange(len(part))] = r.choice(["x", "license", "public"])
+            text += part[: r.randint(3, len(part) + 5)] + r.choices(["y", "general", "license"], k=r.randint(0, 3))
+        texts.append(text)
+    idf = {w: math.log(201 / (sum(w in t for t in texts) + 1)) + 1e-6 for n in notices for w in n}
+    want = {}
+    for i, t in enumerate(texts):
+        found = set()
+        for name, (notice, keys) in licenses.TEMPLATES.items():
+            v = notice.split()
+            places = {o for key in keys for o in licenses._places(notice, key)}
+            for k in range(len(t)):
+                same = [k + o < len(t) and t[k + o] == w for o, w in enumerate(v)]
+                share = sum(idf[w] for w, s in zip(v, same, strict=True) if s) / sum(idf[w] for w in v)
+                if all(same[o] for o in places) and share >= licenses.MATCH:
+                    found.add((name, k, round(share, 9)))
+        want[i] = sorted(found)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {x["doc_id"]: sorted((f["label"], f["start"], round(f["score"], 9)) for f in x["found"]) for x in licenses.scan(docs).collect()}
+    assert got == want and sum(map(len, want.values())) > 50
+
+
 def test_license_base_counts(spark, sf_dir, texts):
     rows = {r["doc_id"]: r for r in queries()["op7_license_scan"](spark, sf_dir).collect()}
     for i, t in texts:
