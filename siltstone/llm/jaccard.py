@@ -417,29 +417,49 @@ def forest(pairs: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def candidates_of(gid: int, x: Block, y: Block, same: bool, every: bool) -> set:
+    """(0, a, b) for candidates of two blocks, all or a forest; (gid, None, None) where the forest leaves some out."""
+    p, q = close_pairs(x, y, same)
+    pairs = list(zip(x.key[p].tolist(), y.key[q].tolist(), x.comp[p].tolist(), y.comp[q].tolist(), strict=True))
+    taken = [r[:2] for r in pairs] if every else forest(pairs)
+    return {(0, min(r), max(r)) for r in taken} | ({(gid, None, None)} if len(taken) < len(pairs) else set())
+
+
 def across_components(members: DataFrame, labels: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
     """(gid, a, b): candidates between components of large groups (gid, block, set_key); all of them, or a forest of each pair of blocks.
 
-    Where a forest leaves candidates out, a row without a and b names the group.
+    Where a forest leaves candidates out, a row without a and b names the group. Groups of one block are searched where they are packed.
     """
     m = members.join(labels, members["set_key"] == labels["node"], "left").select("gid", "block", "set_key", "n", F.coalesce("component", "set_key").alias("component"))
-    mixed = m.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gid")
-    m = stage(m.join(mixed, "gid", "left_semi"), "mixed")
+    mixed = m.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("block").alias("last")).where("x <> y").select("gid", "last")
+    m = stage(m.join(mixed, "gid"), "mixed")
     slots = max(8, (m.agg(F.sum("n")).first()[0] or 0) // SLOT_SHINGLES)
+    m = m.withColumn("slot", F.pmod(F.xxhash64("gid", "block"), F.lit(slots)))
+    held = m.select("slot", "set_key").distinct().join(sets.select("set_key", "sketch"), "set_key")  # each sketch once a slot
+    held = held.select(F.col("slot").alias("of"), F.col("set_key").alias("key"), "sketch")
+    columns = ["gid", "a", "b", "block", "keys", "comps", "sizes", "sketches", "low", "high", "x", "y"]
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+    def pack(pdf: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        sketch = dict(zip(held["key"], held["sketch"], strict=True))
         pdf = pdf.sort_values(["gid", "block", "n", "set_key"])
-        gid, block, key, comp, n = (pdf[c].to_numpy() for c in ("gid", "block", "set_key", "component", "n"))
-        sketches, rows = pdf["sketch"].tolist(), []
-        edge = np.flatnonzero(np.append(True, (gid[1:] != gid[:-1]) | (block[1:] != block[:-1])))
+        gid, block, key, comp, n, last = (pdf[c].to_numpy() for c in ("gid", "block", "set_key", "component", "n", "last"))
+        found: set = set()
+        rows = []
+        edge = np.flatnonzero(np.append(True, (gid[1:] != gid[:-1]) | (block[1:] != block[:-1]))) if len(gid) else np.zeros(0, np.int64)
         for a, z in zip(edge, np.append(edge[1:], len(gid)), strict=True):
-            packed = key[a:z].astype(np.int64).tobytes(), comp[a:z].astype(np.int64).tobytes(), n[a:z].astype(np.int32).tobytes(), b"".join(sketches[a:z])
-            rows.append((int(gid[a]), int(block[a]), *packed, int(n[a]), int(n[z - 1]), int(comp[a:z].min()), int(comp[a:z].max())))
-        return pd.DataFrame(rows, columns=["gid", "block", "keys", "comps", "sizes", "sketches", "low", "high", "x", "y"])
-
-    held = m.join(sets.select("set_key", "sketch"), "set_key").withColumn("slot", F.pmod(F.xxhash64("gid", "block"), F.lit(slots)))
-    blocks = held.groupBy("slot").applyInPandas(pack, "gid long, block int, keys binary, comps binary, sizes binary, sketches binary, low int, high int, x long, y long")
-    blocks = stage(blocks, "blocks")
+            packed = key[a:z].astype(np.int64).tobytes(), comp[a:z].astype(np.int64).tobytes(), n[a:z].astype(np.int32).tobytes(), b"".join(sketch[k] for k in key[a:z].tolist())
+            if last[a]:
+                rows.append((int(gid[a]), None, None, int(block[a]), *packed, int(n[a]), int(n[z - 1]), int(comp[a:z].min()), int(comp[a:z].max())))
+            else:
+                only = Block(*packed)
+                found |= candidates_of(int(gid[a]), only, only, True, every)
+        out = pd.DataFrame([(*r, -1, *[None] * 4, 0, 0, 0, 0) for r in found] + rows, columns=columns, dtype=object)
+        whole = {c: "int64" for c in ("gid", "block", "low", "high", "x", "y")}
+        return out.astype(whole | {"a": "Int64", "b": "Int64"})
+
+    schema = "gid long, a long, b long, block long, keys binary, comps binary, sizes binary, sketches binary, low long, high long, x long, y long"
+    made = stage(m.groupBy("slot").cogroup(held.groupBy("of")).applyInPandas(pack, schema), "blocks")
+    blocks = made.where("block >= 0")
     info = blocks.select("gid", "block", "low", "high", "x", "y")
     other = info.select("gid", *[F.col(c).alias(f"{c}2") for c in ("block", "low", "high", "x", "y")])
     which = info.join(other, "gid").where(f"block <= block2 AND 100 * high2 >= {SIMILARITY} * low AND 100 * high >= {SIMILARITY} * low2 AND (x <> y2 OR x2 <> y)")
@@ -451,15 +471,12 @@ def across_components(members: DataFrame, labels: DataFrame, sets: DataFrame, ev
         for b in batches:
             found: set = set()
             for gid, i, j, x, y in zip(b["gid"], b["block"], b["block2"], b["one"], b["two"], strict=True):
-                x, y = Block(**x), Block(**y)
-                p, q = close_pairs(x, y, i == j)
-                pairs = list(zip(x.key[p].tolist(), y.key[q].tolist(), x.comp[p].tolist(), y.comp[q].tolist(), strict=True))
-                taken = [r[:2] for r in pairs] if every else forest(pairs)
-                found |= {(0, min(r), max(r)) for r in taken} | ({(gid, None, None)} if len(taken) < len(pairs) else set())
+                found |= candidates_of(gid, Block(**x), Block(**y), i == j, every)
             out = pd.DataFrame(list(found), columns=["gid", "a", "b"], dtype=object)
             yield out.astype({"gid": "int64", "a": "Int64", "b": "Int64"})
 
-    return both.select("gid", "block", "block2", "one", "two").mapInPandas(search, "gid long, a long, b long").distinct()
+    across = both.select("gid", "block", "block2", "one", "two").mapInPandas(search, "gid long, a long, b long")
+    return across.unionByName(made.where("block < 0").select("gid", "a", "b")).distinct()
 
 
 def unpacked(blocks: DataFrame) -> DataFrame:
