@@ -69,15 +69,18 @@ def model_extract(generator, system: str = "", retries: int = K.VALIDATION_RETRI
             "doc_id", "chunk_index", get("$.entity_type", "string").alias("entity_type"), name.alias("name"), get("$.description", "string").alias("description"),
             get("$.domain", "array<string>").alias("domain"), get("$.confidence_scores", "map<string,double>").alias("confidence_scores"),
             get("$.status", "string").alias("status"),
+            F.filter(get("$.relationships", EDGES), lambda r: r["type"].isNotNull() & r["target"].isNotNull()).alias("relationships"),
+            get("$.attributes", "map<string,string>").alias("attributes"),
         )
 
     return run
 
 
 def arranged(entities: DataFrame) -> DataFrame:
-    """entities with ord: the order of documents, chunks, names and, as these may repeat, rows; without relationships yet. To be staged."""
+    """entities with ord: the order of documents, chunks, names and, as these may repeat, rows; relationships as extracted, or none. To be staged."""
     e = entities.withColumn("ord", F.struct("doc_id", "chunk_index", "name", "entity_type", F.monotonically_increasing_id().alias("row")))
-    return e.withColumn("relationships", F.array().cast(EDGES))
+    empty = F.array().cast(EDGES)
+    return e.withColumn("relationships", F.coalesce("relationships", empty) if "relationships" in e.columns else empty)
 
 
 def corrected(entities: DataFrame, types_first: bool) -> DataFrame:
@@ -90,7 +93,8 @@ def corrected(entities: DataFrame, types_first: bool) -> DataFrame:
 def stamped(entities: DataFrame) -> DataFrame:
     """entities with aliases of types resolved, an entity_id, and metrics that measure nothing reclassed."""
     e = entities.withColumn("entity_type", correct_type(F.col("entity_type")))
-    return corrected(e.withColumn("entity_id", entity_id(F.col("entity_type"), F.col("name"))), False)
+    own = [F.col("attributes")] if "attributes" in e.columns else []
+    return corrected(e.withColumn("entity_id", entity_id(F.col("entity_type"), F.col("name"), *own)), False)
 
 
 def refined(entities: DataFrame, refine=None) -> DataFrame:

@@ -18,13 +18,15 @@ _staged: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests), a temporary one is set."""
+    """The folder named by spark.checkpoint.dir; where it is unset, a temporary one is set on a local master, and is an error on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="siltstone-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(f"file://{folder}")

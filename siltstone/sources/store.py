@@ -1,16 +1,19 @@
 """The knowledge base: versioned Parquet tables with a registry and a log of conflicts.
 
-    <base>/v=<n>/entities    records, by entity_type and primary_domain
-    <base>/v=<n>/registry    a row for each key: number, file_name, path, ...
-    <base>/v=<n>/conflicts   what this version didn't merge
-    <base>/CURRENT           the number of the valid version
-
-A version is written whole before CURRENT is replaced by a rename; a run that breaks off leaves the last version valid. One writer at
-a time: a version that has moved on meanwhile is an error, not overwritten.
+    <base>/v=<n>-<id>/entities    records, by entity_type and primary_domain
+    <base>/v=<n>-<id>/registry    a row for each key: number, file_name, path, ...
+    <base>/v=<n>-<id>/conflicts   what this version didn't merge
+    <base>/CURRENT                the folders of all versions, a line each; the last one is valid
+
+A version is written whole, to a folder of its own attempt, before CURRENT is replaced by a rename; a run that breaks off leaves the
+last version valid, and a folder that nothing names and no later run meets. One writer at a time: a version that has moved on meanwhile is an
+error, not overwritten.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,20 +36,24 @@ class _Files:
     def path(self, name: str):
         return self.jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}" if name else self.base)
 
-    def current(self) -> int:
+    def versions(self) -> list[str]:
+        """The folders of all versions."""
         at = self.path("CURRENT")
         if not self.fs.exists(at):
-            return 0
+            return []
         stream = self.fs.open(at)
         try:
-            return int(bytes(stream.readAllBytes()).decode())
+            return bytes(stream.readAllBytes()).decode().split()
         finally:
             stream.close()
 
-    def swap(self, version: int) -> None:
-        temporary, final = self.path(f"CURRENT.{version}"), self.path("CURRENT")
+    def current(self) -> int:
+        return len(self.versions())
+
+    def swap(self, versions: list[str]) -> None:
+        temporary, final = self.path(f"CURRENT.{versions[-1]}"), self.path("CURRENT")
         out = self.fs.create(temporary, True)
-        out.write(bytearray(str(version).encode()))
+        out.write(bytearray("\n".join(versions).encode()))
         out.hsync()
         out.close()
         rename = self.jvm.org.apache.hadoop.fs.Options.Rename
@@ -100,7 +107,7 @@ class KnowledgeBase:
 
     def _read(self, table: str) -> DataFrame | None:
         version = self.files.current()
-        return self.spark.read.parquet(f"{self.base}/v={version}/{table}") if version else None
+        return self.spark.read.parquet(f"{self.base}/{self.files.versions()[version - 1]}/{table}") if version else None
 
     def entities(self) -> DataFrame | None:
         """The records, with primary_domain; filters on entity_type and primary_domain prune folders."""
@@ -111,14 +118,13 @@ class KnowledgeBase:
 
     def conflicts(self) -> DataFrame | None:
         """Of all versions."""
-        version = self.files.current()
-        if not version:
-            return None
-        return self.spark.read.parquet(*[f"{self.base}/v={v}/conflicts" for v in range(1, version + 1)])
+        versions = self.files.versions()
+        return self.spark.read.parquet(*[f"{self.base}/{v}/conflicts" for v in versions]) if versions else None
 
     def persist(self, entities: DataFrame, now: str) -> dict[str, int]:
         """Save or merge canonical entities in their order (ord); how many had each outcome."""
-        version = self.files.current()
+        count_before = self.files.current()
+        versions = self.files.versions()[:count_before]
         before, registry = self.entities(), self.registry()
         existing = None
         if before is not None:
@@ -126,7 +132,8 @@ class KnowledgeBase:
         outcomes, folded = upsert(entities, existing, now)
         outcomes = stage(outcomes, "outcomes")
         count = registry.agg(F.max("number")).first()[0] or 0 if registry is not None else 0
-        target = f"{self.base}/v={version + 1}"
+        version = f"v={len(versions) + 1}-{uuid.uuid4().hex}"
+        target = f"{self.base}/{version}"
 
         new = numbered(folded.where(~F.col("known")).select("rkey", "first_ord", "record"), "first_ord", count + 1)
         new = new.select("rkey", "number", F.concat(F.format_string("%03d", "number"), F.lit("_"), F.col("record")["entity_id"], F.lit(".json")).alias("file_name"), "record")
@@ -148,9 +155,9 @@ class KnowledgeBase:
         incoming = F.to_json(F.struct("entity_id", "entity_type", "name", "description", "domain", "status"))
         clashes.select(F.col("rkey").alias("registry_key"), "message", F.lit(now).alias("timestamp"), incoming.alias("incoming_entity")).write.parquet(f"{target}/conflicts")
 
-        if self.files.current() != version:
-            raise RuntimeError(f"another writer has moved {self.base} on from version {version}")
-        self.files.swap(version + 1)
+        if self.files.current() != count_before:
+            raise RuntimeError(f"another writer has moved {self.base} on from version {count_before}")
+        self.files.swap([*versions, version])
         counts = {r["outcome"]: r["n"] for r in outcomes.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
         return {k: counts.get(k, 0) for k in OUTCOMES}
 

@@ -45,6 +45,31 @@ def test_records_from_json(spark, tmp_path):
     assert read_json_records(spark, f"file://{tmp_path}/none").count() == 0
 
 
+def test_a_broken_off_writer_is_no_hindrance(spark, base, monkeypatch):
+    base.persist(frame(spark, entity(0)), NOW)
+
+    def lost(versions):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(base.files, "swap", lost)
+        with pytest.raises(OSError, match="lost"):
+            base.persist(frame(spark, entity(1)), NOW)
+    assert base.entities().count() == 1
+    assert base.persist(frame(spark, entity(1)), LATER)["saved"] == 1
+    assert base.entities().count() == 2 and sorted(r["number"] for r in base.registry().collect()) == [1, 2]
+
+
+def test_edges_and_attributes_of_a_model_are_kept(spark):
+    """Edges stay, so that nothing is inferred in their place; attributes tell ids apart."""
+    from siltstone.plans import knowledge
+
+    kind = "doc_id long, chunk_index int, entity_type string, name string, description string, domain array<string>, confidence_scores map<string,double>, status string, relationships array<struct<type:string,target:string,_auto_generated:boolean>>, attributes map<string,string>"
+    rows = [(1, 0, "concept", "n", "some words here", ["d"], {}, "canonical", [("uses", "X", False)], {"k": "1"}), (1, 1, "concept", "n", "other words here", ["d"], {}, "canonical", None, {"k": "2"})]
+    got = knowledge.stamped(knowledge.arranged(spark.createDataFrame(rows, kind))).orderBy("chunk_index").collect()
+    assert [[tuple(e) for e in r["relationships"]] for r in got] == [[("uses", "X", False)], []] and got[0]["entity_id"] != got[1]["entity_id"]
+
+
 def test_a_second_writer_is_refused(spark, base, monkeypatch):
     base.persist(frame(spark, entity(0)), NOW)
     seen = iter([1, 1, 1, 2])
