@@ -18,7 +18,8 @@ Links that are quick to find go first, so that later steps need no list of a gro
 hub for each of its LEAST least shingles. Then the signatures are dealt out by hash, in packed arrays that name each set's component so
 far. Groups of one component are dropped where they are met. Of the others, up to SMALL sets give all their pairs across components; larger ones give a
 star and are written once for each distinct list of members, as blocks of a bounded size. At last, all pairs of blocks of groups that still hold
-several components are searched, each as a row of its own, in two passes: one gives a forest of candidates for each, the next all that are left.
+several components are searched, each as a row of its own, in two passes: one gives a forest of candidates for each, which is verified with the
+pairs of small groups, the next all that are left.
 
 Candidates are filtered by size (0.8) and by odd sketches (the parity of shingles by hash in a bit array: the bits that
 differ never outnumber d), both of which are safe, and then counted exactly on the whole sets. No link or component reaches the driver.
@@ -338,7 +339,7 @@ def near_by_sketch(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, counted on whole sets."""
     keys = pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
-    wanted = stage(sets.join(keys, "set_key", "left_semi").select("set_key", "uid"), "wanted")
+    wanted = sets.join(keys, "set_key", "left_semi").select("set_key", "uid")
 
     def run(batches):
         shingler = Shingler()
@@ -516,13 +517,16 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
     rest = sets.join(labels, sets["set_key"] == labels["node"], "left").select("uid", "set_key", F.coalesce("component", "set_key").alias("component"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     found = stage(candidates(signature_blobs(texts.select("uid", "text").join(rest, "uid"), max(8, int(size // BUCKET_BYTES)))), "candidates")
-    joined(near_by_sketch(found.where("gid IS NULL").select("a", "b", "na", "nb").distinct(), sets))
+    pairs = near_by_sketch(found.where("gid IS NULL").select("a", "b", "na", "nb").distinct(), sets)  # of small groups
     large = stage(unpacked(found.where("gid IS NOT NULL").dropDuplicates(["gid", "block"])), "members")
-    for every in (False, True):
-        if not large.isEmpty():
-            across = stage(across_components(large, labels, sets, every), "across")
-            large = large.join(across.where("a IS NULL").select("gid").distinct(), "gid", "left_semi")
-            joined(across.where("a IS NOT NULL").select("a", "b"))
+    if not large.isEmpty():
+        across = stage(across_components(large, labels, sets, False), "across")
+        pairs = pairs.unionByName(across.where("a IS NOT NULL").select("a", "b"))
+        large = large.join(across.where("a IS NULL").select("gid").distinct(), "gid", "left_semi")
+    joined(pairs)
+    if not large.isEmpty():
+        across = stage(across_components(large, labels, sets, True), "across")
+        joined(across.where("a IS NOT NULL").select("a", "b"))
     whole = members.join(labels, members["set_key"] == labels["node"], "left")
     return whole.select("uid", "doc_id", "n_shingles", "set_key", F.coalesce("component", "set_key").alias("component"))
 
