@@ -13,12 +13,14 @@ STIRLING customers, by its first two moments beyond. It does so in each entry of
 
 On the cluster: a pass over the texts packs tokens by word into buckets (the words of a bucket meet all their contexts,
 documents and parent entries there). One job counts, seats at first and sums up the restaurants' totals, CLASSES + 1 rows;
-a second one samples given these totals (as in approximate distributed Gibbs sampling), and sums log10 probabilities by
-document. All training tokens count and all tokens of all texts are scored.
+a second one samples given these totals (as in approximate distributed Gibbs sampling) and sums up the totals that each sample
+has; a third one draws the same samples again, from the same seeds, and sums log10 probabilities by document, each sample's
+given its own totals, so that the probabilities of each context add up to 1. All training tokens count and all tokens of all
+texts are scored.
 
 Words that hold 1 / HOT or more of all tokens (at most HOT words, and the end token) would overfill a bucket. A pass counts all words. Their
-tokens are dealt out by word and context; what their parent entries need, two sums for each such word, goes through the driver, and
-their parent probabilities stay as they are after the first seating.
+tokens are dealt out by word and context; what their parent entries need, two sums for each such word and sample, goes through the
+driver. While the others are sampled, their parent probabilities are those of the first seating.
 
 Edge cases: null and empty texts are the end token alone; a null doc_id has the fold of the empty text; repeated rows count and
 are scored each; with no training token every word is unknown; an empty table gives an empty result; columns other
@@ -29,12 +31,13 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -301,9 +304,32 @@ class Seating:
         self.root.reset(c, self.root.t)
         self.root.sweep(np.full(len(c), self.root_mass()))
 
-    def predictive(self) -> np.ndarray:
-        context, p = self.b.context, self.p_word()
-        return (self.b.customers - self.d * self.contexts.t + self.mass(p)) / (THETA + self.total[context])
+    def samples(self) -> Iterator[int]:
+        """Sweeps to each of the samples in turn; the same ones whenever it is run."""
+        for _ in range(BURN_IN):
+            self.sweep()
+        for k in range(SAMPLES):
+            self.sweep()
+            yield k
+
+    def predictive(self, of: dict) -> np.ndarray:
+        """Given the totals of this very seating over all buckets, by which each context's probabilities add up to 1."""
+        customers, tables = of["root"]
+        p = (self.root.c - self.root_d * self.root.t + (ROOT_THETA + self.root_d * tables) / (self.words + 1)) / (ROOT_THETA + customers)
+        p[self.b.hot] = of["p_hot"][self.b.hot_index]
+        context = self.b.context
+        back = (THETA + self.d * of["tables"][context]) * p[self.b.word]
+        return (self.b.customers - self.d * self.contexts.t + back) / (THETA + self.total[context])
+
+
+def frequent(hot_tables: np.ndarray, d: float, tables: int, customers: float, words: int, seed: int) -> tuple[int, np.ndarray]:
+    """The parent's tables, with those of frequent words, whose customers are the tables of all buckets; and these words' probabilities."""
+    mass = (ROOT_THETA + d * tables) / (words + 1)
+    level = Level(hot_tables, d, np.random.default_rng([SEED, seed]), np.full(len(hot_tables), mass))
+    level.sweep(np.full(len(hot_tables), mass))
+    tables += int(level.t.sum())
+    mass = (ROOT_THETA + d * tables) / (words + 1)
+    return tables, (hot_tables - d * level.t + mass) / (ROOT_THETA + customers)
 
 
 def totals(blobs: DataFrame, buckets: int, hot: dict[bytes, float]) -> dict:
@@ -341,20 +367,44 @@ def totals(blobs: DataFrame, buckets: int, hot: dict[bytes, float]) -> dict:
     root_tables, words = found.get(-1, (0, 0))
     words += int((hot_counts > 0).sum())
     d, root_d = discount_of(*found.get(-2, (0, 0))), discount_of(*found.get(-3, (0, 0)))
-    # The parent's tables of frequent words, whose customers are the tables of all buckets.
-    mass = (ROOT_THETA + root_d * root_tables) / (words + 1)
-    level = Level(hot_tables, root_d, np.random.default_rng([SEED, buckets]), np.full(len(hot), mass))
-    for _ in range(BURN_IN):
-        level.sweep(np.full(len(hot), mass))
-    root_tables += int(level.t.sum())
-    mass = (ROOT_THETA + root_d * root_tables) / (words + 1)
-    p_hot = (hot_tables - root_d * level.t + mass) / (ROOT_THETA + tables.sum())
+    root_tables, p_hot = frequent(hot_tables, root_d, root_tables, tables.sum(), words, 0)
     return {
         "tables": tables, "customers": customers, "root": (float(tables.sum()), float(root_tables), words), "d": d, "root_d": root_d,
         "p_hot": p_hot, "hot_counts": hot_counts, "hot": hot_list, "tokens": int(customers.sum()),
     }
 
 
+def seated(pdf: pd.DataFrame, given: dict) -> Seating:
+    b = Bucket(pdf, given["hot"])
+    return Seating(b, int(pdf["bucket"].iloc[0]), given["d"], given["root_d"], given["tables"], given["customers"], given["root"], given["p_hot"])
+
+
+def sample_totals(blobs: DataFrame, model: Broadcast) -> list[dict]:
+    """For each sample, the restaurants' tables, the parent's customers and tables, and probabilities of frequent words."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        s = seated(pdf, model.value)
+        parts = []
+        for k in s.samples():
+            tables = np.bincount(s.b.context, s.contexts.t, CLASSES + 1)
+            some = np.flatnonzero(tables)
+            m = np.concatenate([some, [-1], -2 - s.b.hot_index])
+            parts.append(pd.DataFrame({"k": k, "m": m, "tables": np.concatenate([tables[some], [s.root.t.sum()], s.tables_by_word()[s.b.hot]])}))
+        return pd.concat(parts).astype({"k": "int32", "m": "int32", "tables": "int64"})
+
+    given = model.value
+    sums = blobs.groupBy("bucket").applyInPandas(run, "k int, m int, tables long").groupBy("k", "m").agg(F.sum("tables").alias("tables"))
+    found = {(r["k"], r["m"]): r["tables"] for r in sums.collect()}  # SAMPLES * (CLASSES + 2 + HOT) rows
+    out = []
+    for k in range(SAMPLES):
+        tables = np.array([found.get((k, m), 0) for m in range(CLASSES + 1)], float)
+        hot_tables = np.array([found.get((k, -2 - i), 0) for i in range(len(given["hot"]))], np.int64)
+        customers = float(tables.sum())
+        root_tables, p_hot = frequent(hot_tables, given["root_d"], found.get((k, -1), 0), customers, given["root"][2], 1 + k)
+        out.append({"tables": tables, "root": (customers, float(root_tables)), "p_hot": p_hot})
+    return out
+
+
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each row of docs."""
     docs = docs.select("doc_id", "text")
@@ -366,19 +416,16 @@ def score(docs: DataFrame) -> DataFrame:
     given = totals(blobs.drop("places", "size"), buckets, hot)
     n = given["tokens"]
     model = docs.sparkSession.sparkContext.broadcast(given)  # 2 * (CLASSES + 1) + 3 * HOT numbers
+    own = docs.sparkSession.sparkContext.broadcast(sample_totals(blobs.drop("places", "size"), model))  # SAMPLES * (CLASSES + HOT + 3) numbers
     denominator = n + 0.1 * (given["root"][2] + 1)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = model.value
-        b = Bucket(pdf, g["hot"])
-        s = Seating(b, int(pdf["bucket"].iloc[0]), g["d"], g["root_d"], g["tables"], g["customers"], g["root"], g["p_hot"])
-        b.counts[b.hot] = g["hot_counts"][b.hot_index]
-        for _ in range(BURN_IN):
-            s.sweep()
+        s = seated(pdf, model.value)
+        b = s.b
         mean = np.zeros(len(b.customers))
-        for _ in range(SAMPLES):
-            s.sweep()
-            mean += s.predictive() / SAMPLES
+        for k in s.samples():
+            mean += s.predictive(own.value[k]) / SAMPLES
+        b.counts[b.hot] = model.value["hot_counts"][b.hot_index]
         values = np.log10(mean), np.log10((b.counts + 0.1) / denominator)[b.word], (b.counts > 0)[b.word].astype(float)
         kinds = np.float64, np.float64, np.uint32
         rows, at = [], 0

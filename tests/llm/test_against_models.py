@@ -62,6 +62,40 @@ def test_language_model_probabilities_sum_to_one(spark):
         assert math.isclose(total, 1, rel_tol=1e-9)
 
 
+def test_samples_of_all_buckets_sum_to_one(spark):
+    """In each sample, as the operator takes it, each context's probabilities of all words and the unknown one; with frequent words."""
+    r = random.Random(8)
+    docs = spark.createDataFrame([(i, " ".join(r.choices(["the", *(f"w{k}" for k in range(300))], [300, *[1] * 300], k=200))) for i in range(40)], "doc_id long, text string")
+    hot = language_model.hot_words(docs)
+    packed = language_model.pack_tokens(docs, 8, hot).where("bucket IS NOT NULL").cache()
+    model = spark.sparkContext.broadcast(language_model.totals(packed, 8, hot))
+    own = language_model.sample_totals(packed.drop("places", "size"), model)
+    seatings = [language_model.seated(g, model.value) for _, g in packed.toPandas().groupby("bucket")]
+    customers, words = model.value["customers"], model.value["root"][2]
+    d, root_d = model.value["d"], model.value["root_d"]
+    assert len(hot) == 2 and len(seatings) == 8
+    for k, _ in enumerate(zip(*[s.samples() for s in seatings], strict=True)):
+        root_customers, root_tables = own[k]["root"]
+        unknown = (language_model.ROOT_THETA + root_d * root_tables) / (words + 1) / (language_model.ROOT_THETA + root_customers)
+        parent = unknown + own[k]["p_hot"].sum()
+        total = np.zeros(language_model.CLASSES + 1)
+        for s in seatings:
+            known = s.b.counts > 0
+            known[s.b.hot] = False
+            parent += (s.root.c[known] - root_d * s.root.t[known]).sum() / (language_model.ROOT_THETA + root_customers) + unknown * known.sum()
+            p, seen = s.predictive(own[k]), s.b.customers > 0
+            rest = s.root.c - root_d * s.root.t
+            p_word = rest / (language_model.ROOT_THETA + root_customers) + unknown
+            p_word[s.b.hot] = own[k]["p_hot"][s.b.hot_index]
+            back = (language_model.THETA + d * own[k]["tables"][s.b.context]) / (language_model.THETA + customers[s.b.context])
+            total += np.bincount(s.b.context[seen], (p - back * p_word[s.b.word])[seen], len(total))
+        assert math.isclose(parent, 1, rel_tol=1e-9)
+        whole = total + (language_model.THETA + d * own[k]["tables"]) / (language_model.THETA + customers)
+        assert np.allclose(whole, 1, rtol=1e-9), (whole.min(), whole.max())
+        frozen = total + (language_model.THETA + d * model.value["tables"]) / (language_model.THETA + customers)
+        assert not np.allclose(frozen, 1, rtol=1e-3)  # the first seating's totals wouldn't do
+
+
 def test_frequent_words_are_dealt_out(spark):
     r = random.Random(6)
     docs = spark.createDataFrame([(i, " ".join(r.choices(["the", *(f"w{k}" for k in range(300))], [300, *[1] * 300], k=200))) for i in range(40)], "doc_id long, text string")
@@ -463,8 +497,7 @@ def test_repeated_tokens_hear_of_a_distant_cue():
 
 def test_marginals_on_a_chain_are_exact():
     """Without loops, messages give the sums over all labellings."""
-    import itertools
-
+    
     r = np.random.default_rng(5)
     weights = r.normal(size=(pii.WIDTH, 6)), r.normal(size=(3, 6, 6))
     g = pii.graph("a1 b22 c333 d4444", [])
