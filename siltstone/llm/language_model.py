@@ -56,6 +56,7 @@ COUNTED = 200_000
 TOGETHER = 3_000_000
 BUCKET_BYTES = 16_000_000
 END = b""
+GRAIN = 2.0**-36
 
 
 def held_out(doc_id: str | None) -> bool:
@@ -426,7 +427,9 @@ def score(docs: DataFrame) -> DataFrame:
         for k in s.samples():
             mean += s.predictive(own.value[k]) / SAMPLES
         b.counts[b.hot] = model.value["hot_counts"][b.hot_index]
-        values = np.log10(mean), np.log10((b.counts + 0.1) / denominator)[b.word], (b.counts > 0)[b.word].astype(float)
+        # In steps of GRAIN, sums are the same in any order (up to 2 ** 53 steps), so equal texts have equal scores.
+        logs = [np.round(v / GRAIN) * GRAIN for v in (np.log10(mean), np.log10((b.counts + 0.1) / denominator)[b.word])]
+        values = *logs, (b.counts > 0)[b.word].astype(float)
         kinds = np.float64, np.float64, np.uint32
         rows, at = [], 0
         for chunk, many, place in zip(b.chunks, b.docs, b.place, strict=True):
