@@ -33,11 +33,27 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+#: Whether a query's shuffle files go when it ends; otherwise they stay until the driver's garbage collector finds them unused.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def fleeting(spark: SparkSession):
+    """Shuffle files of queries that are made and run within are removed once each has ended."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with fleeting(spark):
+        df.write.option("compression", "zstd").parquet(path)
     _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
