@@ -41,7 +41,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.staging import stage
+from ..plans.staging import fleeting, stage
 from .columns import id_and_text, with_own_id
 
 CLASSES = 4096
@@ -83,9 +83,10 @@ def hot_words(docs: DataFrame) -> dict[bytes, float]:
                 counts = Counter()
         yield pd.DataFrame({"word": [*counts, None], "n": [*counts.values(), total + counts.total()]})
 
-    counts = docs.select("text").mapInPandas(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    # The total, the end and at most HOT words can be wanted.
-    rows = counts.orderBy(F.col("word").isNull().desc(), (F.length("word") == 0).desc(), F.col("n").desc()).limit(HOT + 2).collect()
+    with fleeting(docs.sparkSession):
+        counts = docs.select("text").mapInPandas(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        # The total, the end and at most HOT words can be wanted.
+        rows = counts.orderBy(F.col("word").isNull().desc(), (F.length("word") == 0).desc(), F.col("n").desc()).limit(HOT + 2).collect()
     total = sum(r["n"] for r in rows if r["word"] is None)
     return {bytes(r["word"]): r["n"] / total for r in rows if r["word"] is not None and (r["n"] >= total / HOT or not r["word"])} or {END: 1.0}
 
@@ -361,8 +362,9 @@ def totals(blobs: DataFrame, buckets: int, hot: dict[bytes, float]) -> dict:
         ]
         return pd.concat([pd.DataFrame(p) for p in parts]).astype({"m": "int32", "tables": "int64", "customers": "int64"})
 
-    out = blobs.groupBy("bucket").applyInPandas(run, "m int, tables long, customers long").groupBy("m").agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers"))
-    found = {r["m"]: (r["tables"], r["customers"]) for r in out.collect()}  # CLASSES + 4 + HOT rows
+    with fleeting(blobs.sparkSession):
+        out = blobs.groupBy("bucket").applyInPandas(run, "m int, tables long, customers long").groupBy("m").agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers"))
+        found = {r["m"]: (r["tables"], r["customers"]) for r in out.collect()}  # CLASSES + 4 + HOT rows
     tables, customers = (np.array([found.get(m, (0, 0))[k] for m in range(CLASSES + 1)], float) for k in (0, 1))
     hot_tables, hot_counts = (np.array([found.get(-4 - i, (0, 0))[k] for i in range(len(hot))], np.int64) for k in (0, 1))
     root_tables, words = found.get(-1, (0, 0))
@@ -394,8 +396,9 @@ def sample_totals(blobs: DataFrame, model: Broadcast) -> list[dict]:
         return pd.concat(parts).astype({"k": "int32", "m": "int32", "tables": "int64"})
 
     given = model.value
-    sums = blobs.groupBy("bucket").applyInPandas(run, "k int, m int, tables long").groupBy("k", "m").agg(F.sum("tables").alias("tables"))
-    found = {(r["k"], r["m"]): r["tables"] for r in sums.collect()}  # SAMPLES * (CLASSES + 2 + HOT) rows
+    with fleeting(blobs.sparkSession):
+        sums = blobs.groupBy("bucket").applyInPandas(run, "k int, m int, tables long").groupBy("k", "m").agg(F.sum("tables").alias("tables"))
+        found = {(r["k"], r["m"]): r["tables"] for r in sums.collect()}  # SAMPLES * (CLASSES + 2 + HOT) rows
     out = []
     for k in range(SAMPLES):
         tables = np.array([found.get((k, m), 0) for m in range(CLASSES + 1)], float)
@@ -420,6 +423,8 @@ def score(docs: DataFrame) -> DataFrame:
     own = docs.sparkSession.sparkContext.broadcast(sample_totals(blobs.drop("places", "size"), model))  # SAMPLES * (CLASSES + HOT + 3) numbers
     denominator = n + 0.1 * (given["root"][2] + 1)
 
+    kinds = np.float64, np.float64, np.uint32
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         s = seated(pdf, model.value)
         b = s.b
@@ -430,21 +435,23 @@ def score(docs: DataFrame) -> DataFrame:
         # In steps of GRAIN, sums are the same in any order (up to 2 ** 53 steps), so equal texts have equal scores.
         logs = [np.round(v / GRAIN) * GRAIN for v in (np.log10(mean), np.log10((b.counts + 0.1) / denominator)[b.word])]
         values = *logs, (b.counts > 0)[b.word].astype(float)
-        kinds = np.float64, np.float64, np.uint32
         rows, at = [], 0
         for chunk, many, place in zip(b.chunks, b.docs, b.place, strict=True):
             of = b.of[at : at + len(place)]
             at += len(place)
-            rows.append((chunk, *(np.bincount(place, v[of], many).astype(k).tobytes() for v, k in zip(values, kinds, strict=True))))
-        return pd.DataFrame(rows, columns=["chunk", "score", "base", "known"])
+            here = np.flatnonzero(np.bincount(place, minlength=many))  # few documents of a chunk, with many buckets
+            rows.append((chunk, many, here.astype(np.uint16).tobytes(), *(np.bincount(place, v[of], many)[here].astype(k).tobytes() for v, k in zip(values, kinds, strict=True))))
+        return pd.DataFrame(rows, columns=["chunk", "size", "places", "score", "base", "known"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("bucket_hash", kind="stable")
-        score, base, known = (np.sum([np.frombuffer(x, k) for x in pdf[c]], axis=0) for c, k in (("score", np.float64), ("base", np.float64), ("known", np.uint32)))
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[0], "place": np.arange(len(score), dtype=np.int32), "score": score, "base_score": base, "n_known": known.astype(np.int64)})
-
-    parts = blobs.groupBy("bucket").applyInPandas(run, "chunk long, score binary, base binary, known binary")
-    parts = parts.withColumn("bucket_hash", F.xxhash64("score"))  # an order of summation that doesn't hang on the shuffle's
+        score, base, known = sums = [np.zeros(pdf["size"].iloc[0], k) for k in (np.float64, np.float64, np.int64)]
+        for places, *parts in zip(pdf["places"], pdf["score"], pdf["base"], pdf["known"], strict=True):
+            here = np.frombuffer(places, np.uint16)
+            for of, part, kind in zip(sums, parts, kinds, strict=True):
+                of[here] += np.frombuffer(part, kind)
+        return pd.DataFrame({"chunk": pdf["chunk"].iloc[0], "place": np.arange(len(score), dtype=np.int32), "score": score, "base_score": base, "n_known": known})
+
+    parts = blobs.groupBy("bucket").applyInPandas(run, "chunk long, size int, places binary, score binary, base binary, known binary")
     sums = parts.groupBy("chunk").applyInPandas(add, "chunk long, place int, score double, base_score double, n_known long")
     rows = packed.where("bucket IS NULL").select("chunk", "place", "doc_id", "held_out", "n_tokens")
     return rows.join(sums, ["chunk", "place"]).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
