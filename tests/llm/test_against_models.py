@@ -1,6 +1,7 @@
 """Operators against brute-force versions, round trips and held-out accuracy."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
